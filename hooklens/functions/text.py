@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Unicode white space, as a pattern class body and as trim characters.
 WHITE = (
@@ -22,6 +22,17 @@ NON_ASCII = r"[^\x00-\x7F]"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def unnest(df: DataFrame, kept: Sequence[str], array: Column, value: str, pos: str | None = None) -> DataFrame:
+    """One row per array element; rows with an empty or null array vanish.
+
+    The outer form is used because for the inner one the optimizer infers a filter on the
+    array, pushes it below the columns the array is made of, and evaluates them twice.
+    Arrays must not hold nulls.
+    """
+    made = F.posexplode_outer(array).alias(pos, value) if pos else F.explode_outer(array).alias(value)
+    return df.select(*kept, made).filter(F.col(value).isNotNull())
+
+
 def blank(column: Column | str) -> Column:
     """Null as the empty string."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from hooklens.functions import headers as H, links as L
+from hooklens.functions.text import unnest
 
 DOMAIN_FIELDS = {"from_domains": "from", "reply_domains": "reply-to", "return_domains": "return-path"}
 AUTH_FLAGS = ("auth_spf_fail", "auth_dkim_fail", "auth_dmarc_fail", "auth_any_none")
@@ -41,7 +42,7 @@ def header_features(messages: DataFrame, keep: Sequence[str] = ("id",)) -> DataF
 
 def link_table(pages: DataFrame) -> DataFrame:
     """One row per anchor of a table `id, html`: position, text, target, host, mismatch."""
-    exploded = pages.select("id", F.posexplode(L.anchors(F.col("html"))).alias("pos", "_a"))
+    exploded = unnest(pages, ["id"], L.anchors(F.col("html")), "_a", "pos")
     parts = exploded.select(
         "id", "pos", L.anchor_text(F.col("_a")).alias("text"), L.anchor_href(F.col("_a")).alias("href")
     )

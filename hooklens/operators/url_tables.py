@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hooklens import lists
 from hooklens.functions import urls as U
-from hooklens.functions.text import message_text, strip
+from hooklens.functions.text import message_text, strip, unnest
 
 
 def url_table(
@@ -23,7 +23,7 @@ def url_table(
         urls = U.message_urls(listed) if pattern == "rule" else _all_urls(pattern, listed)
     else:
         urls = U.extract_urls(message_text(), pattern)
-    return messages.select("id", F.posexplode(urls).alias("pos", "url"))
+    return unnest(messages, ["id"], urls, "url", "pos")
 
 
 def _all_urls(pattern: str, given: Column | None) -> Column:
@@ -34,7 +34,7 @@ def _all_urls(pattern: str, given: Column | None) -> Column:
 
 def distinct_urls(messages: DataFrame) -> DataFrame:
     """One row per message and different URL, made inside the row (no shuffle)."""
-    return messages.select("id", F.explode(F.array_distinct(U.message_urls())).alias("url"))
+    return unnest(messages, ["id"], F.array_distinct(U.message_urls()), "url")
 
 
 def url_hosts(urls: DataFrame) -> DataFrame:
@@ -131,5 +131,5 @@ def match_hosts(hosts: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
         parts = F.array_distinct(F.flatten(windows))
     else:
         raise ValueError(f"unknown match kind {kind!r}")
-    candidates = hosts.withColumn("entry", F.explode(parts))
+    candidates = unnest(hosts, hosts.columns, parts, "entry")
     return candidates.join(entries.select("entry").distinct(), "entry")
