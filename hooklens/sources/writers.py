@@ -13,7 +13,10 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", mode: str = "
     if format == "csv":
         nested = [f.name for f in df.schema.fields if f.dataType.typeName() in ("array", "map", "struct")]
         flat = df.withColumns({c: F.to_json(c) for c in nested}) if nested else df
-        flat.write.mode(mode).options(header=True, escape='"').csv(path)
+        # white space at the ends of a value belongs to it
+        flat.write.mode(mode).options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
     else:
         df.write.mode(mode).format(format).save(path)
 
