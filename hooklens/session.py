@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def build_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Local session for tests and the bench; a cluster brings its own session."""
     return (
@@ -32,9 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    created = tempfile.mkdtemp(prefix="hooklens-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    return created
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="hooklens-")
+    return _LOCAL_DIRS[application]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

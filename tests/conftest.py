@@ -11,10 +11,8 @@ from hooklens.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = build_session(8)
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()

@@ -9,6 +9,7 @@ from hooklens.models import experiments as X
 from hooklens.models.features import fit_text_features
 from hooklens.operators import textvec as T
 from hooklens.schema import FEEDBACK, MESSAGE
+from hooklens.session import shared_dir
 from hooklens.sources import readers, writers
 from hooklens.streaming import jobs
 from tests.test_signals import messages
@@ -132,3 +133,19 @@ def test_nested_columns_in_csv(spark, tmp_path):
     path = str(tmp_path / "rules")
     writers.write_table(df, path, "csv")
     assert tuple(readers.read_csv(spark, path).first()) == ("1", '["a","b"]', '{"k":["v"]}')
+
+
+class _Stub:
+    """Session stand-in: the shared folder only asks for two settings."""
+
+    def __init__(self, master: str, named: str | None):
+        self.sparkContext = self
+        self.master, self.applicationId = master, "app"
+        self.conf = {"spark.checkpoint.dir": named} if named else {}
+
+
+def test_shared_folder():
+    assert shared_dir(_Stub("spark://host:7077", "hdfs:/shared/")) == "hdfs:/shared"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(_Stub("spark://host:7077", None))
+    assert shared_dir(_Stub("local[2]", None)) == shared_dir(_Stub("local[2]", None))
