@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.llm import bytebpe, chat, quality, secrets, sharding
+from hooklens.llm import bytebpe, chat, langid, mixing, multiset, quality, secrets, sharding
 from hooklens.llm.common import table
 
 
@@ -20,12 +20,34 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, of its edited form, and their likeness. The fingerprint's digest stands for it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return multiset.edit_study(spark, docs).withColumns({
+        c: F.sha2(c, 256) for c in ("fingerprint", "edited_fingerprint")
+    })
+
+
+def op5_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its calibrated probability and draw."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.mix(docs).drop("text")
+
+
 def op6_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight shards of the same mixture."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return sharding.shard_documents(docs, shards=8)
 
 
+def op7_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    samples = langid.learn_samples(docs.filter(~langid.held_out()))
+    found = langid.identify(docs.select("doc_id", "text", langid.held_out().alias("held_out")), samples)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_chat_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, told as event logs, folded, rendered and read back."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -75,7 +97,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_byte_bpe, op6_interleaved_shards, op8_chat_log, op9_secret_ledger, op10_quality_rules)
+    for f in (op2_byte_bpe, op3_multiset_hash, op5_raked_mix, op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules)
 }
 
 
