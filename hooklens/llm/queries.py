@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.llm import bytebpe, chat, langid, mixing, multiset, quality, secrets, sharding
+from hooklens.llm import bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding
 from hooklens.llm.common import table
 
 
@@ -28,6 +28,12 @@ def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
 
 
+def op4_multi_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document over links of Jaccard similarity 0.75 or more."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.near_duplicates(docs)
+
+
 def op5_raked_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its calibrated probability and draw."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "text")
@@ -97,7 +103,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_byte_bpe, op3_multiset_hash, op5_raked_mix, op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules)
+    for f in (op2_byte_bpe, op3_multiset_hash, op4_multi_order_join, op5_raked_mix, op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules)
 }
 
 
