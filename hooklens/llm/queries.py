@@ -6,10 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.llm import bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding
+from hooklens.llm import brown, bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding
 from hooklens.llm.common import table
 
 
+def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document, six sevenths of which are learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    trained = brown.train(docs.filter(~held_out))
+    return brown.score(docs, trained).withColumn("held_out", held_out)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -103,7 +111,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op2_byte_bpe, op3_multiset_hash, op4_multi_order_join, op5_raked_mix, op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules)
+    for f in (
+        op1_brown_classes, op2_byte_bpe, op3_multiset_hash, op4_multi_order_join, op5_raked_mix,
+        op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules,
+    )
 }
 
 
