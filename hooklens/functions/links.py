@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, functions as F
 
 from hooklens.functions.text import blank, strip
@@ -13,13 +15,51 @@ ANCHOR = r"(?is)<a(?=[\s>/])[^>]*>.*?(?=</a\s*>|<a[\s>/]|\z)"
 HREF = r"(?is)[\s\"'/]href\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
 
 
+#: Names that stand without a semicolon as well, and those that need one.
+_BARE = {k: v for k, v in html5.items() if not k.endswith(";")}
+_NAMED = {k[:-1]: v for k, v in html5.items() if k.endswith(";")}
+_ENTITY = r"(?s)\A(#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[A-Za-z][A-Za-z0-9]*;?)(.*)\z"
+
+
 def _decode(text: Column) -> Column:
-    for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-        ("&apos;", "'"), ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    """Character references, decimal, hexadecimal and named, as the characters they stand for.
+
+    The text is cut at ampersands; what no reference begins keeps its ampersand. No-break spaces
+    become blanks.
+    """
+
+    def character(code: Column) -> Column:
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        point = F.when(valid, code).otherwise(0xFFFD)
+        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+    def named(name: Column) -> Column:
+        table = F.when(name.endswith(";"), _lookup(_NAMED, F.rtrim(name, F.lit(";"))))
+        return table.otherwise(_lookup(_BARE, name))
+
+    def piece(part: Column, i: Column) -> Column:
+        name, rest = F.regexp_extract(part, _ENTITY, 1), F.regexp_extract(part, _ENTITY, 2)
+        digits = F.regexp_extract(name, r"\A#[xX]?([0-9a-fA-F]+)", 1)
+        hexadecimal = name.rlike(r"\A#[xX]")
+        code = F.conv(digits, 16, 10).cast("bigint")
+        found = (
+            F.when(hexadecimal, character(code))
+            .when(name.startswith("#"), character(digits.cast("bigint")))
+            .otherwise(named(name))
+        )
+        kept = F.concat(F.lit("&"), part)
+        return F.when(i == 0, part).when(name == "", kept).otherwise(F.coalesce(F.concat(found, rest), kept))
+
+    decoded = F.array_join(F.transform(F.split(text, "&", -1), piece), "")
+    plain = F.replace(decoded, F.lit("\u00a0"), F.lit(" "))
+    return F.when(F.contains(text, F.lit("&")), plain).otherwise(F.replace(text, F.lit("\u00a0"), F.lit(" ")))
+
+
+def _lookup(table: dict[str, str], name: Column) -> Column:
+    """The value of a name. Both lists are one constant each, split when the plan is made."""
+    listed = lambda values: F.split(F.lit("\x01".join(values)), "\x01", -1)
+    place = F.array_position(listed(table), name)
+    return F.when(place > 0, F.element_at(listed(table.values()), place.cast("int")))
 
 
 def anchors(html: Column) -> Column:

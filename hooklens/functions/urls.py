@@ -94,11 +94,12 @@ def _any(tests) -> Column:
 
 
 def mixed_script(host: Column) -> Column:
-    """More than one writing system among the letters; all-ASCII hosts skip the tests."""
-    found = reduce(
-        lambda a, b: a + b, (host.rlike(rf"\p{{Is{s}}}").cast("int") for s in lists.SCRIPTS)
-    )
-    return F.when(has_non_ascii(host), found > 1).otherwise(F.lit(False))
+    """More than one writing system among the letters; all-ASCII hosts skip the test.
+
+    A host of one system matches one alternative; a letter of no named system fits none.
+    """
+    single = "|".join(rf"[\P{{L}}\p{{Is{s}}}]*" for s in lists.SCRIPTS)
+    return F.when(has_non_ascii(host), ~host.rlike(rf"\A(?:{single})\z")).otherwise(F.lit(False))
 
 
 def url_signals(url: Column, suspect_tlds: Sequence[str] = lists.SUSPECT_TLDS) -> dict[str, Column]:
@@ -147,15 +148,26 @@ def normalise_urls(urls: Column) -> Column:
 
 
 def mask_domains(text: Column) -> Column:
-    """Keep only the last two labels of every URL's network location, the rest as `***.`"""
-    return F.regexp_replace(text, MASK_PATTERN, "$1***.$2$3")
+    """In every URL, replace its network location, wherever it stands in that URL, by `***.` and its
+    last two labels. Addresses inside a URL's path or query are not URLs of their own.
+
+    A URL with an opening bracket in its location is not a valid one and stays, as does an empty location.
+    """
+
+    def one(url: Column) -> Column:
+        location = F.regexp_extract(url, r"\A[^/]*//([^/?#]*)", 1)
+        masked = F.concat(F.lit("***."), F.substring_index(location, ".", -2))
+        usable = (location != "") & ~F.contains(location, F.lit("["))
+        return F.when(usable, F.replace(url, location, masked)).otherwise(url)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(MASKED_URL), F.lit(0)), one)
+    between = F.split(text, MASKED_URL, -1)
+    parts = F.zip_with(between, found, lambda b, u: F.concat(b, F.coalesce(u, F.lit(""))))
+    return F.when(F.contains(text, F.lit("://")), F.array_join(parts, "")).otherwise(text)
 
 
-# Group 1 is the scheme; group 2 the last two dot-separated parts of the location, or
-# group 3 the whole location when it has no dot.
-_LOCATION = rf"[^{WHITE})>\]}}\"'/?#]"
-_PART = rf"[^{WHITE})>\]}}\"'/?#.]"
-MASK_PATTERN = rf"(?i)(https?://)(?:(?:{_LOCATION}*\.)?({_PART}*\.{_PART}*)|({_PART}+))"
+#: Fixed pattern of the URLs to mask.
+MASKED_URL = rf"(?i)https?://[^{WHITE})>\]}}\"']+"
 
 
 def short_text(limit: int = 220) -> Column:

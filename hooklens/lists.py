@@ -108,12 +108,30 @@ NEAR_MISS_OTHER_SIGNAL = "Lexical/contexto"
 NEAR_MISS_FN_MITIGATION = "Apertar análise de URL/QR/redirect; revisão humana de zona cinzenta"
 NEAR_MISS_FP_MITIGATION = "Allowlist e ponderação de cabeçalhos; ajuste fino de limiar"
 
-# --- writing systems told apart when looking for mixed-script hosts ----------------------
+# --- writing systems told apart when looking for mixed-script hosts: all that the JVM names ---
 SCRIPTS = (
-    "Latin", "Cyrillic", "Greek", "Han", "Hiragana", "Katakana", "Hangul", "Arabic", "Hebrew",
-    "Armenian", "Georgian", "Thai", "Lao", "Khmer", "Myanmar", "Devanagari", "Bengali", "Gurmukhi",
-    "Gujarati", "Tamil", "Telugu", "Kannada", "Malayalam", "Sinhala", "Tibetan", "Ethiopic",
-    "Cherokee", "Mongolian",
+    "Latin", "Greek", "Cyrillic", "Armenian", "Hebrew", "Arabic", "Syriac", "Thaana",
+    "Devanagari", "Bengali", "Gurmukhi", "Gujarati", "Oriya", "Tamil", "Telugu", "Kannada",
+    "Malayalam", "Sinhala", "Thai", "Lao", "Tibetan", "Myanmar", "Georgian", "Hangul", "Ethiopic",
+    "Cherokee", "Canadian_Aboriginal", "Ogham", "Runic", "Khmer", "Mongolian", "Hiragana",
+    "Katakana", "Bopomofo", "Han", "Yi", "Old_Italic", "Gothic", "Deseret", "Tagalog", "Hanunoo",
+    "Buhid", "Tagbanwa", "Limbu", "Tai_Le", "Linear_B", "Ugaritic", "Shavian", "Osmanya",
+    "Cypriot", "Braille", "Buginese", "Coptic", "New_Tai_Lue", "Glagolitic", "Tifinagh",
+    "Syloti_Nagri", "Old_Persian", "Kharoshthi", "Balinese", "Cuneiform", "Phoenician",
+    "Phags_Pa", "Nko", "Sundanese", "Batak", "Lepcha", "Ol_Chiki", "Vai", "Saurashtra",
+    "Kayah_Li", "Rejang", "Lycian", "Carian", "Lydian", "Cham", "Tai_Tham", "Tai_Viet", "Avestan",
+    "Egyptian_Hieroglyphs", "Samaritan", "Mandaic", "Lisu", "Bamum", "Javanese", "Meetei_Mayek",
+    "Imperial_Aramaic", "Old_South_Arabian", "Inscriptional_Parthian", "Inscriptional_Pahlavi",
+    "Old_Turkic", "Brahmi", "Kaithi", "Meroitic_Hieroglyphs", "Meroitic_Cursive", "Sora_Sompeng",
+    "Chakma", "Sharada", "Takri", "Miao", "Caucasian_Albanian", "Bassa_Vah", "Duployan",
+    "Elbasan", "Grantha", "Pahawh_Hmong", "Khojki", "Linear_A", "Mahajani", "Manichaean",
+    "Mende_Kikakui", "Modi", "Mro", "Old_North_Arabian", "Nabataean", "Palmyrene", "Pau_Cin_Hau",
+    "Old_Permic", "Psalter_Pahlavi", "Siddham", "Khudawadi", "Tirhuta", "Warang_Citi", "Ahom",
+    "Anatolian_Hieroglyphs", "Hatran", "Multani", "Old_Hungarian", "Signwriting", "Adlam",
+    "Bhaiksuki", "Marchen", "Newa", "Osage", "Tangut", "Masaram_Gondi", "Nushu", "Soyombo",
+    "Zanabazar_Square", "Hanifi_Rohingya", "Old_Sogdian", "Sogdian", "Dogra", "Gunjala_Gondi",
+    "Makasar", "Medefaidrin", "Elymaic", "Nandinagari", "Nyiakeng_Puachue_Hmong", "Wancho",
+    "Yezidi", "Chorasmian", "Dives_Akuru", "Khitan_Small_Script",
 )
 
 

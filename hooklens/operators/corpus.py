@@ -107,9 +107,9 @@ def normalised_labels(df: DataFrame, column: str = "label") -> DataFrame:
 
 
 def unexpected_labels(df: DataFrame, allowed: Sequence[str] = LABELS) -> DataFrame:
-    """Distinct labels outside the allowed set, with their counts."""
+    """Distinct labels outside the allowed set, a missing one included, with their counts."""
     return (
-        df.filter(F.col("label").isNotNull() & ~F.col("label").isin(*allowed))
+        df.filter(F.col("label").isNull() | ~F.col("label").isin(*allowed))
         .groupBy("label")
         .agg(F.count("*").alias("n"))
     )
@@ -119,7 +119,7 @@ def require_labels(df: DataFrame, allowed: Sequence[str] = LABELS) -> DataFrame:
     """Return `df` unchanged, or fail when it has a label outside the allowed set."""
     bad = unexpected_labels(df, allowed).limit(5).collect()
     if bad:
-        raise ValueError(f"unexpected labels: {sorted(r['label'] for r in bad)}")
+        raise ValueError(f"unexpected labels: {sorted(str(r['label']) for r in bad)}")
     return df
 
 

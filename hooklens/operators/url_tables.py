@@ -109,14 +109,11 @@ def match_hosts(hosts: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
     host = F.col("host")
     if kind == "equal":
         return hosts.join(entries.select(F.col("entry")).distinct(), host == F.col("entry"))
-    # host names have at most 255 characters, so at most that many lengths come back
-    lengths = [
-        r["n"]
-        for r in entries.select(F.length("entry").alias("n")).distinct().filter("n <= 255").collect()
-    ]
-    if not lengths:
-        return hosts.withColumn("entry", F.lit("")).filter(F.lit(False))
-    usable = F.filter(F.array(*[F.lit(n) for n in sorted(lengths)]), lambda n: n <= F.length(host))
+    # one row of distinct lengths, which stays in the plan; an entry may be as long as it likes
+    lengths = entries.select(F.sort_array(F.collect_set(F.length("entry")))).scalar()
+    columns = hosts.columns
+    hosts = hosts.withColumn("_lengths", lengths)
+    usable = F.filter("_lengths", lambda n: n <= F.length(host))
     if kind == "prefix":
         parts = F.transform(usable, lambda n: F.substring(host, F.lit(1), n))
     elif kind == "suffix":
@@ -131,5 +128,5 @@ def match_hosts(hosts: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
         parts = F.array_distinct(F.flatten(windows))
     else:
         raise ValueError(f"unknown match kind {kind!r}")
-    candidates = unnest(hosts, hosts.columns, parts, "entry")
+    candidates = unnest(hosts, columns, parts, "entry")
     return candidates.join(entries.select("entry").distinct(), "entry")

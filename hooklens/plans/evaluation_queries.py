@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hooklens import lists
 from hooklens.models.experiments import sigmoid
 from hooklens.operators import curves as C, errors as E, metrics as M
+from hooklens.operators.corpus import in_test_set
 from hooklens.operators.flags import robustness_flags
 from hooklens.plans import sql, views
 from hooklens.plans.signal_queries import PREFIX_FLAGS, excerpt
@@ -87,8 +88,10 @@ def metrics_json(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Flags of the messages that have a prediction; the others' text is not looked at."""
     columns = ("id", "subject", "body", "headers_raw")
-    return robustness_flags(views.messages(spark, sf, *columns), "prefix")
+    tested = in_test_set(views.messages(spark, sf, *columns), views.scores(spark, sf))
+    return robustness_flags(tested, "prefix")
 
 
 def robustness(spark: SparkSession, sf: str) -> DataFrame:
@@ -109,8 +112,11 @@ def error_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def error_examples(spark: SparkSession, sf: str) -> DataFrame:
+    # typed rows are narrow and read three times: written once, the texts behind them are read once
+    path = fresh_dir(spark, "typed")
+    _typed(spark, sf).write.parquet(path)
     texts = views.messages(spark, sf, "id", "subject", "body")
-    return E.error_examples(_typed(spark, sf), texts, THRESHOLD)
+    return E.error_examples(spark.read.parquet(path), texts, THRESHOLD)
 
 
 def near_miss(spark: SparkSession, sf: str) -> DataFrame:

@@ -165,7 +165,7 @@ def _signals(url: str) -> dict[str, str]:
     host, path = sql.hostname(full), sql.path(full)
     dots = f"(length({host}) - length(replace({host}, '.', '')))"
     mixed = " + ".join(
-        f"regexp_matches({host}, {sql.q('[' + chr(92) + 'p{' + s + '}]')})::INT" for s in lists.SCRIPTS
+        f"regexp_matches({host}, {sql.q('[' + chr(92) + 'p{' + s + '}]')})::INT" for s in lists.SCRIPTS if s != "Signwriting"  # unknown to this engine
     )
     digits = sql.swap(url, r"\p{Nd}", "")
     return {
@@ -294,14 +294,24 @@ PREFIX_FLAGS = (
     + f",\nprefix_flags AS (SELECT id, label, {_FLAG_COLUMNS} FROM pfx_f)"
 )
 
-_END = sql.WHITE + r")>\]}\"'/?#"
-_MASK = (
-    rf"(?i)(https?://)(?:(?:[^{_END}]*\.)?([^{_END}.]*\.[^{_END}.]*)|([^{_END}.]+))"
-)
+_MASKED_URL = rf"(?i)https?://[^{sql.WHITE})>\]}}\"']+"
 
 
 def masked(expr: str) -> str:
-    return sql.swap(expr, _MASK, r"\1***.\2\3")
+    """Each URL found on its own, its location cut out by position, and the pieces put together again."""
+    rest = "substr(u, strpos(u, '//') + 2)"
+    location = f"split_part(split_part(split_part({rest}, '/', 1), '?', 1), '#', 1)"
+    labels = f"string_split({location}, '.')"
+    last = f"CASE WHEN len({labels}) >= 2 THEN {labels}[-2] || '.' || {labels}[-1] ELSE {location} END"
+    one = (
+        f"CASE WHEN {location} = '' OR contains({location}, '[') THEN u "
+        f"ELSE replace(u, {location}, '***.' || {last}) END"
+    )
+    urls = f"list_transform({sql.find_all(expr, _MASKED_URL)}, lambda u: {one})"
+    gaps = f"string_split_regex({expr}, {sql.q(_MASKED_URL)})"
+    return (
+        f"array_to_string(list_transform(list_zip({gaps}, {urls}), lambda z: z[1] || coalesce(z[2], '')), '')"
+    )
 
 
 def excerpt() -> str:

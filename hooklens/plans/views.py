@@ -27,13 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of fewer read splits than cores, such as one small file, so that the
-    text work uses all cores. A large table has more splits and stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _url_part(key: Column, source: Column, page_url: Column) -> Column:
     draw, text = permille(key, "url"), key.cast("string")
 
@@ -68,8 +61,6 @@ def messages(
     with_label = {"label", "headers_raw", "html"} & set(wanted)
     if documents is None:
         documents = table(spark, sf_dir, "documents")
-        if {"subject", "body", "headers_raw", "html"} & set(wanted):
-            documents = spread(documents)
     rows = documents.withColumn("id", F.col("doc_id"))
     key = F.col("id")
     if with_label:
