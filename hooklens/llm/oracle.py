@@ -23,5 +23,84 @@ FROM marked GROUP BY conv_id
 """
 
 
+
+#: kind, pattern, group, least characters; the base kinds as their contract words them.
+_KINDS = (
+    ("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 6),
+    ("access", r"AKIA[A-Z0-9]+", 0, 20),
+    ("hex", r"[0-9a-f]{24,}", 0, 24),
+    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("hub", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
+    ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
+    ("basic", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,80}:[^\s/:@]{1,80}@", 0, 1),
+)
+
+
+def _op9() -> str:
+    quoted = lambda p: "'" + p.replace("'", "''") + "'"
+    parts = []
+    for number, (kind, pattern, group, least) in enumerate(_KINDS):
+        p = quoted(pattern)
+        parts.append(f"""
+  SELECT doc_id, {number} AS k, '{kind}' AS kind, start, start + length(m[i]) AS stop FROM (
+    SELECT *, (list_sum(list_transform(g[1:i], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start FROM (
+      SELECT doc_id, unnest(range(1, len(m) + 1)) AS i, m, g, c FROM (
+        SELECT doc_id, regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {group}) AS c,
+          string_split_regex(t, {p}) AS g FROM texts))) WHERE length(c[i]) >= {least}""")
+    joined = "string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, k)"
+    counts = ", ".join(f"count(*) FILTER (k = {n})::BIGINT AS n_{k[0]}" for n, k in enumerate(_KINDS[:3]))
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS ({" UNION ALL ".join(parts)}),
+found AS (SELECT doc_id, {counts}, {joined} FILTER (k < 3) AS base, {joined} AS spans FROM spans GROUP BY doc_id)
+SELECT doc_id, {", ".join(f"coalesce(n_{k[0]}, 0) AS n_{k[0]}" for k in _KINDS[:3])},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+
+def _op10() -> str:
+    from hooklens.llm.quality import STOP_WORDS
+
+    stops = ", ".join("'" + v + "'" for w in dict.fromkeys(STOP_WORDS) for v in (w, w.capitalize()))
+    lines_like = lambda p: f"len(list_filter(lines, lambda x: regexp_matches(x, '{p}')))"
+    rules = (
+        ("few_words", "n_words < 10"),
+        ("repeated_windows", "100 * n_repeat_words > 20 * n_words"),
+        ("short_words", "n_words > 0 AND word_chars < 2 * n_words"),
+        ("long_words", "n_words > 0 AND word_chars > 25 * n_words"),
+        ("symbols", "n_words > 0 AND 4 * n_symbols > n_words"),
+        ("duplicate_lines", "n_words >= 20 AND n_dup_lines / n_lines::DOUBLE > 0.6"),
+        ("stop_words", "n_words >= 80 AND n_stop / n_words::DOUBLE < 0.01"),
+        ("bullets", "n_words >= 20 AND n_bullets / n_lines::DOUBLE > 0.9"),
+        ("ellipses", "n_words >= 20 AND n_ellipses / n_lines::DOUBLE > 0.5"),
+        ("shouting", "n_words > 0 AND 2 * n_shouts > n_words"),
+    )
+    failed = ", ".join(f"CASE WHEN {test} THEN '{name}' END" for name, test in rules)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+split AS (SELECT doc_id, t, regexp_extract_all(t, '{_WORD}') AS words,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM texts),
+windows AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w FROM (
+  SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM split WHERE len(words) >= 5)),
+again AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, w) AS c FROM windows) WHERE c > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM again) GROUP BY doc_id),
+m AS (SELECT doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+  len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols, len(lines) AS n_lines,
+  (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+  len(list_filter(words, lambda x: list_contains([{stops}], x))) AS n_stop,
+  {lines_like("^[[:space:]]*(?:[-*•]|[0-9]+[.)])[[:space:]]")} AS n_bullets,
+  {lines_like("(?:[.][.][.]|…)[[:space:]]*$")} AS n_ellipses,
+  len(regexp_extract_all(t, '!!')) AS n_shouts FROM split LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, list_filter([{failed}], lambda x: x IS NOT NULL) AS names FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  list_has_any(names, ['few_words', 'repeated_windows']) AS base_failed, len(names) = 0 AS kept,
+  array_to_string(names, ',') AS failed_rules
+FROM judged
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_log": _OP8}
+    return {"op8_chat_log": _OP8, "op9_secret_ledger": _op9(), "op10_quality_rules": _op10()}

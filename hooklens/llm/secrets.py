@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from hooklens.llm.common import bind, drop_columns, written
 
-SPAN = "struct<start:int,end:int,kind:int>"
+#: In this order spans sort by start, then kind.
+SPAN = "struct<start:int,kind:int,end:int>"
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def kinds(rule_sets: Sequence[RuleSet] = RULE_SETS) -> list[str]:
 
 
 def rule_spans(text: Column, rule: SecretRule, number: int) -> Column:
-    """Spans of a rule as structs (start, end, kind number), in code points, end exclusive.
+    """Spans of a rule as structs (start, kind number, end), in code points, end exclusive.
 
     The pieces between the matches and the matches themselves alternate, so running sums of
     their lengths are the positions.
@@ -91,7 +92,7 @@ def rule_spans(text: Column, rule: SecretRule, number: int) -> Column:
         def step(acc: Column, x: Column) -> Column:
             begin = acc["at"] + x["g"]
             end = begin + x["m"]
-            span = F.struct(begin.alias("start"), end.alias("end"), F.lit(number).alias("kind"))
+            span = F.struct(begin.alias("start"), F.lit(number).alias("kind"), end.alias("end"))
             kept = F.when(x["c"] >= rule.least, F.array_append(acc["spans"], span)).otherwise(acc["spans"])
             # the last piece has no match after it
             return F.struct(

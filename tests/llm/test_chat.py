@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
-from hooklens.llm import chat, oracle, queries
-from tests.oracle import connect, difference
+from hooklens.llm import chat, queries
 
 EVENTS = "conv_id long, message long, seq long, kind string, role string, text string"
 TURNS = "conv_id long, turn long, role string, text string"
@@ -51,11 +50,6 @@ def test_ties_repeats_nulls_and_nothing(spark):
     assert chat.format_log(chat.events_of_turns(empty)).count() == 0
 
 
-def test_query_matches_oracle(spark):
-    sf = "/root/testdata/sf0.001"
-    assert difference(queries.op8_chat_log(spark, sf), connect(sf), oracle.oracle_sql()["op8_chat_log"]) is None
-
-
 def test_no_python(spark):
     frame = queries.op8_chat_log(spark, "/root/testdata/sf0.001")
     plan = frame._jdf.queryExecution().executedPlan().toString()
