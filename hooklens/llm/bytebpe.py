@@ -16,7 +16,7 @@ inside a character, so bytes are joined before they are read as UTF-8.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from hooklens.llm.common import drop_columns
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-REMEMBERED = 400_000
-SLICE_CHARS = 2_000_000
+REMEMBERED = 200_000
+SLICE_CHARS = 1_000_000
 
 
 @cache
@@ -39,17 +39,37 @@ def byte_alphabet() -> tuple[str, ...]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary, made once per worker."""
+    """Encoder and decoder of one vocabulary, made once per worker.
+
+    A worker that only decodes reads the vocabulary and makes no merges.
+    """
 
     def __init__(self, path: str, pattern: str) -> None:
         import base64
 
+        with open(path, "rb") as lines:
+            self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
+        letters = byte_alphabet()
+        self.spelled = {"".join(letters[b] for b in token): rank for token, rank in self.ranks.items()}
+        byte_of = {c: b for b, c in enumerate(letters)}
+        self.bytes_of: list[bytes] = [b""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.spelled.items():
+            self.bytes_of[rank] = bytes(byte_of[c] for c in token)
+        self.sizes = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.pattern = pattern
+        self.memory: dict[str, bytes] = {}
+
+    @cached_property
+    def pieces(self):
         import regex
+
+        return regex.compile(self.pattern).findall
+
+    @cached_property
+    def tokenizer(self):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        with open(path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
-        letters = byte_alphabet()
+        letters, ranks = byte_alphabet(), self.ranks
         spell = lambda token: "".join(letters[b] for b in token)
         merges = sorted(
             (rank, ranks[token[:i]], ranks[token[i:]], token[:i], token[i:])
@@ -57,19 +77,11 @@ class Codec:
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         )
-        model = models.BPE(
-            vocab={spell(t): r for t, r in ranks.items()}, merges=[(spell(a), spell(b)) for *_, a, b in merges],
-        )
-        self.tokenizer = Tokenizer(model)
+        model = models.BPE(vocab=self.spelled, merges=[(spell(a), spell(b)) for *_, a, b in merges])
+        made = Tokenizer(model)
         # a piece is one word here: it is only spelled in the byte alphabet, not split again
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.pieces = regex.compile(pattern).findall
-        byte_of = {c: b for b, c in enumerate(letters)}
-        self.bytes_of: list[bytes] = [b""] * (max(ranks.values()) + 1)
-        for token, rank in self.tokenizer.get_vocab().items():
-            self.bytes_of[rank] = bytes(byte_of[c] for c in token)
-        self.sizes = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self.memory: dict[str, bytes] = {}
+        made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
