@@ -1,10 +1,10 @@
 """Global row numbers and running sums without a one-partition window.
 
-A table is cut into ordered buckets, rows are counted per bucket, and a window then runs
-inside each bucket on top of the count of all earlier buckets. The cut points only balance
-the work: any cuts give the same result, so they may come from a sample. They are literals
-of the plan, hence the bucket of a row is a pure function of its key and a recomputed task
-puts every row back where it was.
+A table is cut into ordered buckets, rows are counted per bucket, and each row is placed
+inside its bucket on top of the count of all earlier buckets. The cut points only balance
+the work: any cuts give the same result. Row numbers take Spark's range partitioner and
+write its outcome once; running sums over scores take quantiles as literals of the plan,
+hence the bucket of a score is a pure function of it.
 """
 
 from __future__ import annotations
@@ -14,10 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from hooklens.session import shuffle_partitions
+from hooklens.session import shuffle_partitions, written
 
-SAMPLES_PER_BUCKET = 20
-ROWS_PER_BUCKET = 2_000_000
+#: monotonically_increasing_id() keeps the partition number above this many bits.
+PLACE_BITS = 33
 
 
 def bucket_index(key: Column, cuts: Sequence[Column]) -> Column:
@@ -41,26 +41,6 @@ def bucket_index(key: Column, cuts: Sequence[Column]) -> Column:
     return F.aggregate(steps, start, halve, lambda span: span["low"])
 
 
-def _cut_points(keyed: DataFrame, rows: int, buckets: int) -> list[Column]:
-    """Quantile keys of a sample of about SAMPLES_PER_BUCKET rows per bucket."""
-    if rows == 0 or buckets < 2:
-        return []
-    fraction = min(1.0, SAMPLES_PER_BUCKET * buckets / rows)
-    sample = keyed.sample(fraction=fraction, seed=7).orderBy("_key").collect()
-    picked = {len(sample) * i // buckets: None for i in range(1, buckets)} if sample else {}
-    kind = keyed.schema["_key"].dataType
-    unique, previous = [], None
-    for row in (sample[i]["_key"] for i in picked):
-        if row != previous:
-            unique.append(
-                F.struct(
-                    *[F.lit(row[f.name]).cast(f.dataType).alias(f.name) for f in kind.fields]
-                )
-            )
-        previous = row
-    return unique
-
-
 def with_row_number(
     df: DataFrame,
     order: Sequence[Column],
@@ -71,29 +51,26 @@ def with_row_number(
     """Add consecutive numbers in the given ascending order.
 
     The order must end in a unique column; then equal leading keys, even a third of the
-    table, still fall into many buckets. Two small jobs run first: a count with a sample
-    for the cut points, and the count per bucket (one row per bucket reaches the driver).
+    table, still fall into many ranges. Runs jobs when called: the rows are sorted by one
+    range shuffle and written with their place (range number and position in it). The ranges
+    are then counted, one row each, and the count of all earlier ones is joined back. The
+    numbers do not depend on where the ranges were cut.
     """
-    key = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
-    keyed = df.withColumn("_key", key)
-    narrow = keyed.select("_key")
-    rows = narrow.count()
-    if buckets is None:
-        buckets = max(shuffle_partitions(df.sparkSession), math.ceil(rows / ROWS_PER_BUCKET))
-    cuts = _cut_points(narrow, rows, buckets)
-    index = bucket_index(F.col("_key"), cuts)
-    per_bucket = {
-        r["b"]: r["n"]
-        for r in narrow.groupBy(index.alias("b")).agg(F.count("*").alias("n")).collect()
-    }
-    before, running = [], start
-    for b in range(len(cuts) + 1):
-        before.append(F.lit(running - 1).cast("bigint"))
-        running += per_bucket.get(b, 0)
-    inside = W.partitionBy("_bucket").orderBy("_key")
-    number = F.row_number().over(inside) + F.element_at(F.array(*before), F.col("_bucket") + 1)
+    keys = {f"_key{i}": c for i, c in enumerate(order)}
+    ranges = buckets or shuffle_partitions(df.sparkSession)
     others = [c for c in df.columns if c != name]
-    return keyed.withColumn("_bucket", index).select(number.cast("bigint").alias(name), *others)
+    ordered = df.withColumns(keys).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    placed = written(
+        ordered.select(*others, F.monotonically_increasing_id().alias("_place")), "numbered"
+    )
+    # the place holds the range above PLACE_BITS and the position below
+    bucket = F.shiftright("_place", PLACE_BITS).alias("_bucket")
+    inside = F.col("_place").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    totals = placed.groupBy(bucket).agg(F.count("*").alias("_p"))
+    earlier = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
+    before = totals.select("_bucket", F.coalesce(F.sum("_p").over(earlier), F.lit(0)).alias("_before"))
+    joined = placed.withColumn("_bucket", bucket).join(F.broadcast(before), "_bucket")
+    return joined.select((inside + F.col("_before") + start).cast("bigint").alias(name), *others)
 
 
 def score_cuts(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:

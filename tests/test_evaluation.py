@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
 
 import pytest
@@ -226,6 +227,17 @@ def test_term_weights(spark):
     assert {r["term"] for r in fitted if r["id"] == 5} == set()  # "the" is in all fitted messages
 
 
+def test_linear_model_held_as_a_table(spark):
+    weights = [(1, "hot", 0.6), (1, "rare", 0.8), (2, "hot", 1.0), (3, "new", 1.0)]
+    relation = spark.createDataFrame(weights, "id long, term string, weight double")
+    model = spark.createDataFrame([("hot", 2.0), ("rare", -1.0)], "term string, coefficient double")
+    hot = spark.createDataFrame([("hot",)], "term string")
+    expected = {1: 0.5 + 1.2 - 0.8, 2: 2.5, 3: 0.5}
+    for frequent in (None, hot):
+        found = {r["id"]: r["score"] for r in T.linear_scores(relation, model, 0.5, frequent).collect()}
+        assert found == pytest.approx({i: 1 / (1 + math.exp(-m)) for i, m in expected.items()})
+
+
 def test_variants(spark):
     base = messages(
         spark,

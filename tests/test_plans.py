@@ -71,7 +71,7 @@ def test_windows_over_data_are_partitioned(spark, mail):
     scored = mail.select("id", (F.col("id") % 2).cast("int").alias("y_true"), (F.col("id") / 1000).alias("score"))
     for df in (numbered, curves.pr_curve(scored)):
         for spec in re.findall(r"Window \[.*", plan(df)):
-            # sums over bucket totals (_p, _n) see one row per bucket; all others are bucketed
+            # sums over bucket totals (_p) see one row per bucket; all others are bucketed
             assert "_bucket" in spec or "sum(_p#" in spec
 
 
