@@ -7,6 +7,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, functions as F
+
 # --- rule set -------------------------------------------------------------------------
 SUSPECT_TLDS = ("tk", "ml", "cf", "gq", "zip", "mov")
 RULE_SHORTENERS = ("bit.ly", "tinyurl.com", "t.co", "goo.gl", "ow.ly")
@@ -154,3 +156,12 @@ class RuleLists:
             redirectors=tuple(config.get("redirectors", ())),
             markers=tuple(config.get("ptbr_markers", ())),
         )
+
+    @classmethod
+    def from_table(cls, entries: DataFrame) -> RuleLists:
+        """Build from a configuration table `list, entry`, whose lists have the names of the
+        configuration. The lists become part of the plan, so this reads the table at once; it is
+        for configurations, whose entries people write. Lists that grow with the data are joined
+        (`match_hosts`)."""
+        rows = entries.groupBy("list").agg(F.sort_array(F.collect_set("entry")).alias("entries")).collect()
+        return cls.from_mapping({r["list"]: r["entries"] for r in rows})

@@ -10,6 +10,8 @@ from hooklens import lists
 from hooklens.operators.curves import (
     RECALL_FLOOR, area_columns, choice_column, cumulative_counts, with_rates,
 )
+from hooklens.operators.split import TEST_SIZE
+from hooklens.schema import LABELS
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -127,6 +129,23 @@ def metrics_summary(
     )
 
 
+def with_training_counts(
+    summary: DataFrame, split: DataFrame, recall_floor: float = RECALL_FLOOR, test_size: float = TEST_SIZE
+) -> DataFrame:
+    """Summary rows with `n_train, test_size, recall_floor` and the class counts of both parts.
+
+    `split` is the split table (`label, split`) all experiments share: four counts, one row.
+    """
+    counts = split.agg(*[
+        F.count_if((F.col("split") == part) & (F.col("label") == label)).alias(f"{part}_{label}")
+        for part in ("train", "test") for label in LABELS
+    ])
+    n_train = sum(F.col(f"train_{label}") for label in LABELS)
+    record = counts.select(F.struct(n_train.alias("n_train"), *counts.columns)).scalar()
+    settings = {"test_size": F.lit(test_size), "recall_floor": F.lit(recall_floor), "_counts": record}
+    return summary.withColumns(settings).select("*", "_counts.*").drop("_counts")
+
+
 def ablation(summary: DataFrame, base: str = "E0") -> DataFrame:
     """Differences of every experiment to the base one, rounded to four digits.
 

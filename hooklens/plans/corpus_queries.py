@@ -11,8 +11,9 @@ from hooklens.operators.flags import robustness_flags
 from hooklens.plans import sql, views
 from hooklens.schema import EXPERIMENT_COLUMNS, PREDICTION, require_columns
 from hooklens.session import fresh_dir
-from hooklens.sources.readers import read_csv
-from hooklens.sources.writers import write_table
+from hooklens.sources.readers import read_csv, read_messages
+from hooklens.sources.writers import append_feedback, read_feedback, write_table
+from hooklens.streaming.jobs import feedback_stream, start_append
 
 
 def _digested(df: DataFrame, *texts: str) -> DataFrame:
@@ -105,6 +106,39 @@ def sink_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return read_csv(spark, predictions, PREDICTION).join(spark.read.parquet(flags), "id")
 
 
+def read_messages_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Labelled messages written as CSV and read by the message reader."""
+    path = fresh_dir(spark, "messages")
+    columns = ("id", "label", "subject", "body", "date", "source", "headers_raw", "html")
+    write_table(views.labelled(spark, sf, *columns), path, "csv")
+    return _digested(read_messages(spark, path, "csv").select(*columns), "subject", "body", "headers_raw", "html")
+
+
+def _feedback_folder(spark: SparkSession, sf: str) -> str:
+    """Labels as feedback records, appended in two batches."""
+    path, key = fresh_dir(spark, "feedback"), F.col("doc_id")
+    name = F.when(F.col("toxic") == 1, "phishing").when(F.col("toxic") == 0, "ham")
+    records = views.table(spark, sf, "labels").select(
+        key.alias("id"), F.when(key % 13 != 0, name).alias("label_true"),
+        F.when(key % 3 == 0, F.concat(F.lit('case "'), key.cast("string"), F.lit('"'))).alias("context"),
+    )
+    append_feedback(spark, records.filter("id % 2 = 0").drop("context"), path)
+    append_feedback(spark, records.filter("id % 2 = 1"), path)
+    return path
+
+
+def feedback(spark: SparkSession, sf: str) -> DataFrame:
+    return read_feedback(spark, _feedback_folder(spark, sf))
+
+
+def feedback_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """The feedback folder as a stream that keeps valid records, read back."""
+    out = fresh_dir(spark, "feedback-kept")
+    records = feedback_stream(spark, _feedback_folder(spark, sf))
+    start_append(records, f"{out}/rows", f"{out}/progress", "json").awaitTermination()
+    return read_feedback(spark, f"{out}/rows")
+
+
 def synth_headers(spark: SparkSession, sf: str) -> DataFrame:
     rows = views.messages(spark, sf, "id", "label", "subject", "body")
     return synth.with_synthetic_modalities(rows).select("id", "headers_raw")
@@ -144,6 +178,9 @@ QUERIES = {
     "q_stratified_split": stratified_split,
     "q_test_subset": test_subset,
     "q_sink_roundtrip": sink_roundtrip,
+    "q_read_messages": read_messages_csv,
+    "q_feedback": feedback,
+    "q_feedback_stream": feedback_kept,
     "q_synth_headers": synth_headers,
     "q_synth_html": synth_html,
     "q_adversarial_expand": adversarial_expand,
@@ -239,6 +276,13 @@ def _suffix_flags() -> str:
     return SUFFIX_FLAGS
 
 
+_FEEDBACK = """
+feedback AS (SELECT doc_id::VARCHAR AS id,
+  CASE WHEN doc_id % 13 <> 0 THEN CASE toxic WHEN 1 THEN 'phishing' WHEN 0 THEN 'ham' END END AS label_true,
+  CASE WHEN doc_id % 3 = 0 AND doc_id % 2 = 1 THEN 'case "' || doc_id || '"' END AS context
+  FROM labels WHERE doc_id IS NOT NULL)"""
+
+
 def oracle() -> dict[str, str]:
     m, raw = sql.MESSAGES, sql.RAW_MAIL
     found = {
@@ -287,6 +331,13 @@ def oracle() -> dict[str, str]:
             "WHERE id IN (SELECT id FROM split WHERE split = 'test')", m, _SPLIT),
         "q_sink_roundtrip": sql.select(
             "SELECT * FROM scores JOIN suffix_flags USING (id)", m, sql.SCORES, _suffix_flags()),
+        "q_read_messages": sql.select(
+            f"SELECT id, label, {_digest('subject', 'body')}, date, source, "
+            f"{_digest('headers_raw', 'html')} FROM (SELECT * REPLACE (nullif(subject, '') AS subject, "
+            "nullif(body, '') AS body, nullif(html, '') AS html) FROM messages WHERE label IS NOT NULL)", m),
+        "q_feedback": sql.select("SELECT * FROM feedback", _FEEDBACK),
+        "q_feedback_stream": sql.select(
+            "SELECT * FROM feedback WHERE id IS NOT NULL AND label_true IS NOT NULL", _FEEDBACK),
         "q_synth_headers": sql.select(f"SELECT id, {sql.HEADERS_SQL} AS headers_raw FROM m1", m),
         "q_synth_html": sql.select(f"SELECT id, {sql.HTML_SQL} AS html FROM m1", m),
         "q_adversarial_expand": _expand_sql(),

@@ -9,14 +9,18 @@ from hooklens.models.experiments import sigmoid
 from hooklens.operators import curves as C, errors as E, metrics as M
 from hooklens.operators.corpus import in_test_set
 from hooklens.operators.flags import robustness_flags
+from hooklens.operators.split import stratified_split
 from hooklens.plans import sql, views
 from hooklens.plans.signal_queries import PREFIX_FLAGS, excerpt
-from hooklens.session import fresh_dir
+from hooklens.session import fresh_dir, written
 from hooklens.sources.readers import read_metrics
-from hooklens.sources.writers import metrics_documents, write_metrics_json
+from hooklens.sources.writers import flat_metrics_documents, metrics_documents, write_metrics_json
 
 THRESHOLD = 0.5
 BY = ("experiment",)
+METRIC_COLUMNS = (
+    "threshold", "precision_plus", "recall_plus", "f1_plus", "pr_auc", "roc_auc", "tp", "fp", "tn", "fn",
+)
 
 
 def _rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -81,10 +85,20 @@ def ablation(spark: SparkSession, sf: str) -> DataFrame:
 def metrics_json(spark: SparkSession, sf: str) -> DataFrame:
     """Summary and report rows written as one JSON record per experiment and read back."""
     path = fresh_dir(spark, "metrics")
-    summary = _summary(spark, sf)
+    split = written(stratified_split(views.labelled(spark, sf, "id", "label")), "split")
+    summary = M.with_training_counts(_summary(spark, sf), split)
     write_metrics_json(metrics_documents(summary, M.class_report(summary, BY)), path)
     back = read_metrics(spark, path, name_from="folder")
-    return _rounded(back.drop("n_train"))
+    return _rounded(back.drop("notes"))
+
+
+def metrics_flat(spark: SparkSession, sf: str) -> DataFrame:
+    """Summary rows written as flat records and read back; the note names the choice."""
+    path = fresh_dir(spark, "metrics")
+    write_metrics_json(flat_metrics_documents(_summary(spark, sf)), path)
+    back = read_metrics(spark, path, name_from="folder")
+    kept = ("experiment", *METRIC_COLUMNS, "support_plus", "support_minus")
+    return _rounded(back.select(*kept, F.get_json_object("notes", "$.mode").alias("mode")))
 
 
 def _flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -144,6 +158,7 @@ QUERIES = {
     "q_threshold_maxf1": threshold_maxf1,
     "q_metrics_summary": metrics_summary,
     "q_metrics_json": metrics_json,
+    "q_metrics_flat": metrics_flat,
     "q_ablation": ablation,
     "q_robustness": robustness,
     "q_error_typology": error_typology,
@@ -267,7 +282,14 @@ def oracle() -> dict[str, str]:
         "q_metrics_summary": sql.select(
             f"SELECT experiment, {_SIX}, tp, fp, tn, fn, n_test, mode FROM summary", *_SUMMARY_VIEWS),
         "q_metrics_json": sql.select(
-            f"SELECT experiment, {_SIX}, tp, fp, tn, fn, n_test FROM summary", *_SUMMARY_VIEWS),
+            f"""SELECT experiment, {_SIX}, tp, fp, tn, fn, n_test, 0.2::DOUBLE AS test_size,
+            0.9::DOUBLE AS recall_floor, ham - test_ham + phishing - test_phishing AS n_train, ham - test_ham AS train_ham,
+            phishing - test_phishing AS train_phishing, test_ham, test_phishing, test_phishing AS support_plus,
+            test_ham AS support_minus FROM summary, sizes""", *_SUMMARY_VIEWS,
+            sql.SPLIT_SIZES),
+        "q_metrics_flat": sql.select(
+            f"""SELECT experiment, {_SIX}, tp, fp, tn, fn, tp + fn AS support_plus, tn + fp AS support_minus, mode
+            FROM summary""", *_SUMMARY_VIEWS),
         "q_ablation": sql.select(
             f"""SELECT a.experiment || ' − E0' AS comparison, {deltas},
             printf('Limiar %s=%.4f; E0=%.4f', a.experiment, a.threshold, b.threshold) AS notes

@@ -187,6 +187,11 @@ s0 AS (
 ),
 scores AS (SELECT id, y_true, {score('score', 0.35)} AS score FROM s0)"""
 
+SPLIT_SIZES = """
+sizes AS (SELECT count(*) FILTER (y_true = 0) AS ham, count(*) FILTER (y_true = 1) AS phishing,
+  floor(0.2::DOUBLE * count(*) FILTER (y_true = 0) + 0.5::DOUBLE)::BIGINT AS test_ham,
+  floor(0.2::DOUBLE * count(*) FILTER (y_true = 1) + 0.5::DOUBLE)::BIGINT AS test_phishing FROM s0)"""
+
 EXPERIMENTS = (
     SCORES
     + ",\nexperiments AS (\n"

@@ -22,7 +22,6 @@ MESSAGE = _struct(
     "headers_raw STRING, html STRING"
 )
 SCORING_REQUEST = _struct("id STRING, subject STRING, body STRING, headers_raw STRING, html STRING")
-TEXT_MESSAGE = _struct("id BIGINT, label STRING, text STRING")
 PREDICTION = _struct("id BIGINT, y_true INT, score DOUBLE")
 FEEDBACK = _struct("id STRING, label_true STRING, context STRING")
 

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from hooklens import schema as S
 from hooklens.functions.text import label_name, text_projection
 from hooklens.operators.corpus import require_labels
+from hooklens.operators.rules import FALLBACK_THRESHOLD
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header; quoted fields may span lines and double their quotes."""
+    """CSV with a header; quoted fields may span lines and double their quotes.
+    An empty field, quoted or not, is null: CSV does not tell the two apart."""
     reader = spark.read.options(header=True, multiLine=True, escape='"')
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
@@ -46,11 +48,13 @@ def read_metrics(spark: SparkSession, path: str, name_from: str = "file") -> Dat
     """
     # every field of both layouts is named, so absent ones read as null
     flat = "Limiar DOUBLE, `Precision+` DOUBLE, `Recall+` DOUBLE, `F1+` DOUBLE, `PR-AUC` DOUBLE, " \
-        "AUROC DOUBLE, TP BIGINT, FP BIGINT, TN BIGINT, FN BIGINT"
+        "AUROC DOUBLE, TP BIGINT, FP BIGINT, TN BIGINT, FN BIGINT, `Suporte+` BIGINT, `Suporte-` BIGINT, Notas STRING"
     nested = (
         "best STRUCT<threshold: DOUBLE, precision_at_thr: DOUBLE, recall_at_thr: DOUBLE, "
         "f1_plus_at_thr: DOUBLE, average_precision: DOUBLE, roc_auc: DOUBLE, tp: BIGINT, "
-        "fp: BIGINT, tn: BIGINT, fn: BIGINT, n_train: BIGINT, n_test: BIGINT>"
+        "fp: BIGINT, tn: BIGINT, fn: BIGINT, n_train: BIGINT, n_test: BIGINT, test_size: DOUBLE, "
+        "recall_floor: DOUBLE, class_distribution_test: STRUCT<ham: BIGINT, phishing: BIGINT>, "
+        "class_distribution_train: STRUCT<ham: BIGINT, phishing: BIGINT>>"
     )
     # a row whose JSON names differ only by case (TP and tp) sits at different levels
     raw = spark.read.schema(f"{flat}, {nested}").option("multiLine", True).json(path)
@@ -73,6 +77,18 @@ def read_metrics(spark: SparkSession, path: str, name_from: str = "file") -> Dat
     return raw.select(
         F.upper(stem).alias("experiment"),
         *[F.coalesce(F.col(f"`{a}`"), F.col(f"best.{b}")).alias(n) for n, (a, b) in pairs.items()],
-        F.col("best.n_train").alias("n_train"),
-        F.col("best.n_test").alias("n_test"),
+        *[F.col(f"best.{n}").alias(n) for n in ("n_train", "n_test", "test_size", "recall_floor")],
+        *[
+            F.col(f"best.class_distribution_{part}.{label}").alias(f"{part}_{label}")
+            for part in ("train", "test") for label in S.LABELS
+        ],
+        F.coalesce(F.col("`Suporte+`"), F.col("best.class_distribution_test.phishing")).alias("support_plus"),
+        F.coalesce(F.col("`Suporte-`"), F.col("best.class_distribution_test.ham")).alias("support_minus"),
+        F.col("Notas").alias("notes"),
     )
+
+
+def stored_threshold(metrics: DataFrame, experiment: str, default: float = FALLBACK_THRESHOLD) -> float:
+    """Decision threshold of an experiment in a metrics table; the default where it has none."""
+    found = metrics.filter(F.col("experiment") == experiment).agg(F.max("threshold")).first()[0]
+    return default if found is None else found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.schema import FEEDBACK, PREDICTION, require_columns
+from hooklens.schema import FEEDBACK, LABELS, PREDICTION, require_columns
 
 
 def write_table(df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite") -> None:
@@ -27,16 +27,25 @@ def write_predictions(df: DataFrame, path: str, format: str = "parquet") -> None
 
 
 def metrics_documents(summary: DataFrame, report: DataFrame | None = None) -> DataFrame:
-    """Nested metrics records (`experiment`, `best`, `report`) from flat summary rows."""
-    best = F.struct(
+    """Nested metrics records (`experiment`, `best`, `report`) from flat summary rows.
+
+    Training counts are in the record where the summary has them (`with_training_counts`).
+    """
+    fields = [
         F.col("threshold"),
         F.col("precision_plus").alias("precision_at_thr"),
         F.col("recall_plus").alias("recall_at_thr"),
         F.col("f1_plus").alias("f1_plus_at_thr"),
         F.col("pr_auc").alias("average_precision"),
-        "roc_auc", "n_test", "tp", "fp", "tn", "fn",
-    )
-    nested = summary.select("experiment", best.alias("best"))
+        *map(F.col, ("roc_auc", "n_test", "tp", "fp", "tn", "fn")),
+    ]
+    if "n_train" in summary.columns:
+        fields += [F.col(c) for c in ("n_train", "test_size", "recall_floor")]
+        fields += [
+            F.struct(*[F.col(f"{part}_{label}").alias(label) for label in LABELS]).alias(f"class_distribution_{part}")
+            for part in ("test", "train")
+        ]
+    nested = summary.select("experiment", F.struct(*fields).alias("best"))
     if report is None:
         return nested
     # five rows per experiment
@@ -45,6 +54,23 @@ def metrics_documents(summary: DataFrame, report: DataFrame | None = None) -> Da
     return nested.join(listed, "experiment")
 
 
+def flat_metrics_documents(summary: DataFrame) -> DataFrame:
+    """Flat metrics records, supports and the note on the threshold choice included."""
+    names = {
+        "Limiar": "threshold", "Precision+": "precision_plus", "Recall+": "recall_plus",
+        "F1+": "f1_plus", "PR-AUC": "pr_auc", "AUROC": "roc_auc",
+        "TP": "tp", "FP": "fp", "TN": "tn", "FN": "fn",
+    }
+    note = F.to_json(F.struct("mode", F.col("precision_plus").alias("precision"), F.col("recall_plus").alias("recall")))
+    return summary.select(
+        "experiment",
+        *[F.col(c).alias(n) for n, c in names.items()],
+        (F.col("tp") + F.col("fn")).alias("Suporte+"),
+        (F.col("tn") + F.col("fp")).alias("Suporte-"),
+        note.alias("Notas"),
+    )
+
+
 def write_metrics_json(documents: DataFrame, path: str) -> None:
     """One JSON record per experiment, in a folder named after it."""
     named = documents.withColumn("name", F.col("experiment"))

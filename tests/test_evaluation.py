@@ -10,10 +10,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from hooklens import lists
 from hooklens.operators import (
     corpus as C, curves, errors as E, metrics as M, ranking, split as SP, textvec as T, variants as V,
 )
-from hooklens.sources.readers import read_metrics
+from hooklens.sources import writers
+from hooklens.sources.readers import read_metrics, stored_threshold
 from tests.test_signals import messages
 
 
@@ -185,6 +187,27 @@ def test_metrics_in_both_layouts(spark, tmp_path):
     assert row["notes"] == "Limiar E1=0.4000; E0=0.5000"
 
 
+def test_flat_record_stored_threshold_and_training_counts(spark, tmp_path):
+    predictions = scored(spark, random_rows(60)).withColumn("experiment", F.lit("E0"))
+    summary = M.metrics_summary(predictions)
+    split = spark.createDataFrame([("ham", "train")] * 3 + [("phishing", "train"), ("ham", "test")], "label string, split string")
+    row = M.with_training_counts(summary, split).first()
+    assert (row["n_train"], row["train_ham"], row["train_phishing"], row["test_ham"], row["test_phishing"]) == (4, 3, 1, 1, 0)
+    assert row["test_size"] == 0.2 and row["recall_floor"] == 0.9
+    writers.write_metrics_json(writers.flat_metrics_documents(summary), str(tmp_path))
+    back = read_metrics(spark, str(tmp_path), name_from="folder")
+    found = back.first()
+    assert found["support_plus"] + found["support_minus"] == 60 and '"mode"' in found["notes"]
+    assert stored_threshold(back, "E0") == pytest.approx(row["threshold"])
+    assert stored_threshold(back, "E9") == 0.5
+
+
+def test_rule_lists_from_a_table(spark):
+    rows = [("suspect_tlds", ".zip"), ("suspect_tlds", ".tk"), ("shorteners", "bit.ly"), ("shorteners", "bit.ly")]
+    made = lists.RuleLists.from_table(spark.createDataFrame(rows, "list string, entry string"))
+    assert made == lists.RuleLists(suspect_tlds=("tk", "zip"), shorteners=("bit.ly",), redirectors=(), markers=())
+
+
 def flag_rows(spark, n):
     names = ("unicode_homoglyph", "shortened_url", "redirector_url", "ptbr_likely", "no_url", "headers_missing")
     rows = [(i, *[(i + k) % 3 == 0 for k in range(5)], False) for i in range(n)]
