@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.llm import brown, bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding
+from hooklens.llm import brown, bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding, simhash
 from hooklens.llm.common import table
 
 
@@ -109,11 +109,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document, and its component over links of three differing bits or fewer."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_brown_classes, op2_byte_bpe, op3_multiset_hash, op4_multi_order_join, op5_raked_mix,
         op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules,
+        op11_deletion_variants,
     )
 }
 
