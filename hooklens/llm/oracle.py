@@ -102,5 +102,83 @@ FROM judged
 """
 
 
+_ALPHABET = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), {}), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')".format(_ALPHABET)
+
+_OP12 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+held AS (SELECT r, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs),
+tfs AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held GROUP BY ALL),
+total AS (SELECT count(*) FILTER (len(terms) > 0) AS nn, sum(len(terms))::BIGINT AS ll FROM docs),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tfs, total GROUP BY term),
+asked AS (SELECT i, item_id, term, count(*) AS times FROM (
+  SELECT row_number() OVER () AS i, item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+scores AS (SELECT i, item_id, r, doc_id,
+  sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * nn) // ll))))::BIGINT AS score
+  FROM asked JOIN tfs USING (term) JOIN weights USING (term), total GROUP BY ALL)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores WHERE score > 0) WHERE rank <= 10
+"""
+
+
+def _tree(name: str, levels: int) -> str:
+    """Tables `{name}_0..levels` of nodes (g, slot, d), and `{name}_path` (g, slot, l0, r0, m0, ...) of the lowest."""
+    parts = []
+    for i in range(levels):
+        parts.append(f"""{name}_c{i} AS (SELECT *, count(*) OVER (PARTITION BY g) > 1 AS m FROM {name}_{i}),
+{name}_s{i} AS (SELECT a.g, a.slot, a.m, coalesce(string_agg(b.d, '' ORDER BY b.slot) FILTER (b.slot < a.slot), '') AS l,
+  coalesce(string_agg(b.d, '' ORDER BY b.slot) FILTER (b.slot > a.slot), '') AS r
+  FROM {name}_c{i} a JOIN {name}_c{i} b ON a.g = b.g AND a.slot // 16 = b.slot // 16 GROUP BY ALL),
+{name}_{i + 1} AS (SELECT g, slot // 16 AS slot,
+  CASE WHEN bool_or(m) THEN sha256(string_agg(d, '' ORDER BY slot)) ELSE min(d) END AS d FROM {name}_c{i} GROUP BY 1, 2)""")
+    columns = ", ".join(f"s{i}.l AS l{i}, s{i}.r AS r{i}, s{i}.m AS m{i}" for i in range(levels))
+    joins = " ".join(f"JOIN {name}_s{i} s{i} ON s{i}.g = n.g AND s{i}.slot = n.slot // {16**i}" for i in range(levels))
+    parts.append(f"{name}_path AS (SELECT n.g, n.slot, {columns} FROM {name}_0 n {joins})")
+    return ",\n".join(parts)
+
+
+def _op13(levels: int = 5, top: int = 3) -> str:
+    """Enough for 16^levels rows of a source and 16^top sources."""
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    low = f"translate(text, {_ALPHABET})"
+    # the check sum bit by bit: a character enters with the first of its eight steps
+    crc = (
+        "xor(4294967295, list_reduce(flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0])), "
+        "lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1)), 4294967295::BIGINT))"
+    )
+    folds, prior = [], "c"
+    for k, (name, i) in enumerate([("t", i) for i in range(levels)] + [("u", i) for i in range(top)]):
+        folds.append(f"w{k + 1} AS (SELECT *, CASE WHEN {name}m{i} THEN sha256({name}l{i} || {prior} || {name}r{i}) ELSE {prior} END AS f{k + 1} FROM w{k})")
+        prior = f"f{k + 1}"
+    path = lambda name, count: ", ".join(
+        f"{name}.{c}{i} AS {name}{c}{i}" for i in range(count) for c in "lrm"
+    )
+    proof = " || ".join(f"{name}l{i} || {name}r{i}" for name, count in (("t", levels), ("u", top)) for i in range(count))
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce('s' || source, '') AS g,
+  sha256({head} || {field('text')}) AS d,
+  CASE WHEN {crc} % 5 = 0 THEN sha256({head} || {field(low)}) END AS other FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d, row) - 1 AS slot FROM texts),
+t_0 AS (SELECT g, slot, d FROM placed),
+{_tree("t", levels)},
+u_0 AS (SELECT '' AS g, row_number() OVER (ORDER BY g) - 1 AS slot, d, g AS source_g FROM t_{levels}),
+{_tree("u", top)},
+w0 AS (SELECT p.doc_id, p.d, coalesce(p.other, p.d) AS c, u_0.d AS subroot, (SELECT d FROM u_{top}) AS root,
+  {path("t", levels)}, {path("u", top)}
+  FROM placed p JOIN t_path t ON t.g = p.g AND t.slot = p.slot
+  JOIN u_0 ON u_0.source_g = p.g JOIN u_path u ON u.slot = u_0.slot),
+{", ".join(folds)}
+SELECT doc_id, d AS leaf, subroot, root, sha256({proof}) AS proof_sha256, {prior} AS folded_root, {prior} = root AS verified
+FROM w{len(folds)}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_chat_log": _OP8, "op9_secret_ledger": _op9(), "op10_quality_rules": _op10()}
+    return {
+        "op8_chat_log": _OP8, "op9_secret_ledger": _op9(), "op10_quality_rules": _op10(),
+        "op12_automaton_search": _OP12, "op13_merkle_manifest": _op13(),
+    }

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hooklens.llm import brown, bytebpe, chat, jaccard, langid, mixing, multiset, quality, secrets, sharding, simhash
+from hooklens.llm import (
+    brown, bytebpe, chat, jaccard, langid, lexical, merkle, mixing, multiset, quality, secrets, sharding, simhash,
+)
 from hooklens.llm.common import table
 
 
@@ -114,12 +116,25 @@ def op11_deletion_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_automaton_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; every fifth by the check sum of its id is tampered with."""
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return merkle.build(docs, merkle.lower_ascii(F.col("text")), touched)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_brown_classes, op2_byte_bpe, op3_multiset_hash, op4_multi_order_join, op5_raked_mix,
         op6_interleaved_shards, op7_cross_parsing, op8_chat_log, op9_secret_ledger, op10_quality_rules,
-        op11_deletion_variants,
+        op11_deletion_variants, op12_automaton_search, op13_merkle_manifest,
     )
 }
 
