@@ -11,7 +11,7 @@ HOT = 1000
 
 
 def lookup(rows: DataFrame, facts: DataFrame, on: list[str], hot: Column) -> DataFrame:
-    """Inner join of rows with facts that are unique in their key.
+    """Inner join of rows with facts, a cheap table, that are unique in their key.
 
     `hot` tells which facts belong to keys of more than 1/HOT of all rows: those facts, fewer than HOT by that
     definition, are broadcast and their rows stay where they are. All others meet by hash, where no key holds
@@ -19,6 +19,8 @@ def lookup(rows: DataFrame, facts: DataFrame, on: list[str], hot: Column) -> Dat
     """
     marked = facts.withColumn("_hot", F.coalesce(hot, F.lit(False)))
     often, seldom = marked.filter("_hot").drop("_hot"), marked.filter("not _hot").drop("_hot")
+    if often.isEmpty():
+        return rows.join(facts, on)
     there = F.broadcast(often.select(*on))
     return rows.join(F.broadcast(often), on).unionByName(
         rows.join(there, on, "left_anti").join(seldom, on)

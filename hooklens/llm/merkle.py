@@ -6,7 +6,7 @@ source, give the root in the same way.
 
 Leaves are never sorted. The ids of a source are a bitmap, merged from partial ones into words of 64 bits (words
 without a bit are not stored). A word knows its rows (its popcount, plus the extra rows of repeated ids), and so do
-four directories above it of 2^20, 2^34, 2^48 and all ids: the running counts inside a directory, at most 65,536
+three directories above it, of 2^25, 2^44 and all ids: the running counts inside a directory, at most 2^20 narrow
 entries, add up to the rank of a word's first id. A leaf's slot is that offset and the popcount below its own bit.
 Slots are the keys from then on: a level is reduced by grouping slots 16 by 16.
 
@@ -29,7 +29,7 @@ from hooklens.operators.ranking import with_row_number
 FAN = 16
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Bits below each directory level; the lowest is a word of 64 ids.
-SHIFTS = (6, 20, 34, 48)
+SHIFTS = (6, 25, 44)
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -169,9 +169,9 @@ def _levels(nodes: DataFrame, most: int, kept: Sequence[str] = ()) -> tuple[list
         )
         runs.append(written(found, "runs"))
         joined = F.array_join(F.transform("run", lambda x: _hex(x["digest"])), "")
-        nodes = written(
-            runs[-1].select("key", F.col("up").alias("slot"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"),
-                            digest(joined).alias("digest")), "nodes",
+        # not written: sixteen digests make one
+        nodes = runs[-1].select(
+            "key", F.col("up").alias("slot"), F.expr(f"(n + {FAN - 1}) div {FAN}").alias("n"), digest(joined).alias("digest")
         )
         most, kept = -(-most // FAN), ()
 
