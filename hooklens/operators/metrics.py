@@ -130,17 +130,22 @@ def metrics_summary(
 
 
 def with_training_counts(
-    summary: DataFrame, split: DataFrame, recall_floor: float = RECALL_FLOOR, test_size: float = TEST_SIZE
+    summary: DataFrame, split: DataFrame, recall_floor: float = RECALL_FLOOR, test_size: float = TEST_SIZE,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Summary rows with `n_train, test_size, recall_floor` and the class counts of both parts.
 
-    `split` is the split table (`label, split`) all experiments share: four counts, one row.
+    `split` is the split table (`label, split`) all experiments share: four counts, one row. With `by` it has
+    those columns, too, and each experiment gets the counts of its own rows.
     """
-    counts = split.agg(*[
+    counts = split.groupBy(*by).agg(*[
         F.count_if((F.col("split") == part) & (F.col("label") == label)).alias(f"{part}_{label}")
         for part in ("train", "test") for label in LABELS
     ])
     n_train = sum(F.col(f"train_{label}") for label in LABELS)
+    if by:
+        own = counts.withColumns({"n_train": n_train, "test_size": F.lit(test_size), "recall_floor": F.lit(recall_floor)})
+        return summary.join(own, list(by))
     record = counts.select(F.struct(n_train.alias("n_train"), *counts.columns)).scalar()
     settings = {"test_size": F.lit(test_size), "recall_floor": F.lit(recall_floor), "_counts": record}
     return summary.withColumns(settings).select("*", "_counts.*").drop("_counts")

@@ -191,17 +191,6 @@ QUERIES = {
     "q_adv_headers": _variant("FP_headerok"),
 }
 
-_SPLIT = """
-ranked AS (
-  SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || id), id) AS place,
-    count(*) OVER (PARTITION BY label) AS n
-  FROM messages WHERE label IS NOT NULL
-),
-split AS (
-  SELECT id, label, CASE WHEN place <= floor(0.2::DOUBLE * n + 0.5) THEN 'test' ELSE 'train' END AS split
-  FROM ranked
-)"""
-
 _CORPUS = """
 SELECT "Message ID" AS id, {label} AS label, {digest}, "Date" AS date FROM (
   SELECT "Message ID", "Spam/Ham", "Date", coalesce("Subject", '') AS subject,
@@ -325,10 +314,10 @@ def oracle() -> dict[str, str]:
         "q_test_size": sql.select(
             "SELECT min(n) AS smallest_class, CASE WHEN min(n) < 2 THEN 0.5::DOUBLE ELSE 0.2::DOUBLE END "
             "AS test_size FROM (SELECT count(*) AS n FROM messages WHERE label IS NOT NULL GROUP BY label)", m),
-        "q_stratified_split": sql.select("SELECT id, label, split FROM split", m, _SPLIT),
+        "q_stratified_split": sql.select("SELECT id, label, split FROM split", m, sql.SPLIT),
         "q_test_subset": sql.select(
             f"SELECT id, {_digest('subject', 'body')} FROM messages "
-            "WHERE id IN (SELECT id FROM split WHERE split = 'test')", m, _SPLIT),
+            "WHERE id IN (SELECT id FROM split WHERE split = 'test')", m, sql.SPLIT),
         "q_sink_roundtrip": sql.select(
             "SELECT * FROM scores JOIN suffix_flags USING (id)", m, sql.SCORES, _suffix_flags()),
         "q_read_messages": sql.select(

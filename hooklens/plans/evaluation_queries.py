@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hooklens import lists
-from hooklens.models.experiments import sigmoid
+from hooklens.models.linear import sigmoid
 from hooklens.operators import curves as C, errors as E, metrics as M
 from hooklens.operators.corpus import in_test_set
 from hooklens.operators.flags import robustness_flags

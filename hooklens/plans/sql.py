@@ -187,6 +187,17 @@ s0 AS (
 ),
 scores AS (SELECT id, y_true, {score('score', 0.35)} AS score FROM s0)"""
 
+SPLIT = """
+ranked AS (
+  SELECT id, label, row_number() OVER (PARTITION BY label ORDER BY md5('42:split:' || id), id) AS place,
+    count(*) OVER (PARTITION BY label) AS n
+  FROM messages WHERE label IS NOT NULL
+),
+split AS (
+  SELECT id, label, CASE WHEN place <= floor(0.2::DOUBLE * n + 0.5) THEN 'test' ELSE 'train' END AS split
+  FROM ranked
+)"""
+
 SPLIT_SIZES = """
 sizes AS (SELECT count(*) FILTER (y_true = 0) AS ham, count(*) FILTER (y_true = 1) AS phishing,
   floor(0.2::DOUBLE * count(*) FILTER (y_true = 0) + 0.5::DOUBLE)::BIGINT AS test_ham,

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from hooklens.lists import RuleLists
-from hooklens.models.experiments import score_table
+from hooklens.models.experiments import score_messages
 from hooklens.operators.rules import DEFAULT_THRESHOLD, evaluate_rules, hybrid_decision
 from hooklens.schema import FEEDBACK, SCORING_REQUEST
 
@@ -40,7 +40,7 @@ def decide(
     if scorer is None:
         scored = messages
     elif isinstance(scorer, PipelineModel):
-        scored = score_table(scorer, messages)
+        scored = score_messages(scorer, messages)
     else:
         scored = scorer(messages)
     judged = hybrid_decision(evaluate_rules(scored, rules), threshold)

@@ -50,7 +50,7 @@ def test_features_equal_the_tfidf_relation(spark, table):
 
 
 def test_all_experiments(spark, table):
-    predictions, summary, report = X.run_experiments(table, num_features=1 << 10)
+    predictions, summary, report = X.run_experiments(table)
     rows = {r["experiment"]: r for r in summary.collect()}
     assert set(rows) == set(X.EXPERIMENTS)
     for r in rows.values():
@@ -65,8 +65,8 @@ def test_pipeline_saved_and_loaded(spark, table, tmp_path):
         model = X.fit_text_classifier(train, 1 << 10, kind)
         path = str(tmp_path / kind)
         X.save_pipeline(model, path)
-        again = X.score_table(X.load_pipeline(path), table).collect()
-        first = X.score_table(model, table).collect()
+        again = X.score_messages(X.load_pipeline(path), table).collect()
+        first = X.score_messages(model, table).collect()
         assert {r["id"]: r["score"] for r in again} == {r["id"]: r["score"] for r in first}
         assert all(0.0 <= r["score"] <= 1.0 for r in first)
         worst = max(r["score"] for r in first if r["label"] == "ham")
@@ -149,3 +149,53 @@ def test_shared_folder():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_dir(_Stub("spark://host:7077", None))
     assert shared_dir(_Stub("local[2]", None)) == shared_dir(_Stub("local[2]", None))
+
+
+def test_training_reaches_the_optimum(spark, table):
+    """Merged single-message terms, signals of any magnitude, both losses: the gradient vanishes in every term."""
+    features = X.build_features(table, ["E0", "E1", "E2", "E4"])
+    counts = features.text.index.groupBy("feature").count()
+    assert counts.filter("count > 1").count() > 0 or features.text.index.filter("df = 1").count() == 0
+    for name in ("E0", "E1", "E2", "E4"):
+        model = X.fit_model(features, name)
+        found, penalty = X.certificate(features, name, model)
+        slopes = [r["gradient"] for r in found.collect()]
+        assert sum(g * g for g in slopes) ** 0.5 / penalty <= 1.1 * X.TOLERANCE
+        assert len(slopes) == features.text.index.count() + len(X.SIGNAL_COLUMNS[X.EXPERIMENTS[name].signals]) + 1
+
+
+def test_merged_terms_change_no_score(spark):
+    """Coefficients of all terms apart, by plain descent, against the features that merge terms of one message."""
+    import numpy as np
+
+    from hooklens.models import training
+    from hooklens.models.vocabulary import fit_text_features
+
+    rng = np.random.default_rng(3)
+    rows = [{"label": "phishing" if i % 3 == 0 else "ham", "subject": "s", "body": " ".join(
+        [f"w{rng.integers(12)}" for _ in range(6)] + [f"only{i}", f"lone{i}"] * (i % 2))} for i in range(24)]
+    docs = messages(spark, *rows).withColumn("split", F.when(F.col("id") % 5 == 0, "test").otherwise("train"))
+    text = fit_text_features(docs)
+    y = {r["id"]: 1.0 if r["label"] == "phishing" else -1.0 for r in docs.collect()}
+    cells = [(r["id"], r["split"], r["term"], r["weight"]) for r in text.relation.collect()]
+    assert {r["id"] for r in text.vectors.collect()} == {i for i, s, *_ in cells if s == "train"}
+    terms = sorted({t for _, s, t, _ in cells if s == "train"})
+    assert text.size < len(terms) == text.index.count()
+    ids = sorted({i for i, s, *_ in cells if s == "train"})
+    x = np.zeros((len(ids), len(terms) + 1))
+    x[:, -1] = 1.0
+    for i, s, t, w in cells:
+        if s == "train":
+            x[ids.index(i), terms.index(t)] = w
+    signs = np.array([y[i] for i in ids])
+    for loss in ("lr", "svm"):
+        plain = np.zeros(x.shape[1])
+        for _ in range(20000):
+            _, slope = training.LOSSES[loss](signs * (x @ plain))
+            plain -= 0.3 * (x.T @ (slope * signs) / len(ids) + plain / len(ids))
+        rows = text.vectors.withColumn("y_true", F.when(F.col("id").isin([i for i in ids if y[i] > 0]), 1).otherwise(0))
+        table = training.training_table(rows.withColumn("weight", F.lit(1.0)))
+        fitted, bound = training.fit(table, text.size, loss, 1e-6)
+        of = {r["term"]: r["share"] * fitted[r["feature"]] for r in text.index.collect()}
+        assert bound <= 1e-6
+        assert np.allclose([of[t] for t in terms], plain[:-1], atol=1e-5) and abs(fitted[-1] - plain[-1]) < 1e-5
