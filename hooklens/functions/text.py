@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,6 +22,15 @@ NON_ASCII = r"[^\x00-\x7F]"
 TOKEN = r"[\p{L}\p{N}_]{2,}"
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value computed once per row, however often the body uses it.
+
+    Lambda bodies are evaluated per element, and a column used inside one is evaluated with it; bound to a
+    lambda variable it is a plain look-up.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def unnest(df: DataFrame, kept: Sequence[str], array: Column, value: str, pos: str | None = None) -> DataFrame:
     """One row per array element; rows with an empty or null array vanish.
 

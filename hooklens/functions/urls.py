@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 from hooklens import lists
-from hooklens.functions.text import WHITE, blank, has_non_ascii, message_text, strip
+from hooklens.functions.text import WHITE, bind, blank, has_non_ascii, message_text, strip
 
 # Three URL patterns that end a URL at different characters.
 PATTERNS = {
@@ -154,12 +154,14 @@ def mask_domains(text: Column) -> Column:
     A URL with an opening bracket in its location is not a valid one and stays, as does an empty location.
     """
 
-    def one(url: Column) -> Column:
-        location = F.regexp_extract(url, r"\A[^/]*//([^/?#]*)", 1)
+    def hidden(url: Column, location: Column) -> Column:
         masked = F.concat(F.lit("***."), F.substring_index(location, ".", -2))
         usable = (location != "") & ~F.contains(location, F.lit("["))
         return F.when(usable, F.replace(url, location, masked)).otherwise(url)
 
+    def one(url: Column) -> Column:
+        return bind(F.regexp_extract(url, r"\A[^/]*//([^/?#]*)", 1), lambda location: hidden(url, location))
+
     found = F.transform(F.regexp_extract_all(text, F.lit(MASKED_URL), F.lit(0)), one)
     between = F.split(text, MASKED_URL, -1)
     parts = F.zip_with(between, found, lambda b, u: F.concat(b, F.coalesce(u, F.lit(""))))
@@ -173,7 +175,7 @@ MASKED_URL = rf"(?i)https?://[^{WHITE})>\]}}\"']+"
 def short_text(limit: int = 220) -> Column:
     """One-line, domain-masked excerpt of a message."""
     text = strip(F.concat(strip(blank("subject")), F.lit(" "), strip(blank("body"))))
-    masked = mask_domains(F.regexp_replace(text, rf"[{WHITE}]+", " "))
-    return F.when(
-        F.length(masked) > limit, F.concat(F.substring(masked, 1, limit), F.lit("…"))
-    ).otherwise(masked)
+    masked = bind(F.regexp_replace(text, rf"[{WHITE}]+", " "), mask_domains)
+    return bind(masked, lambda m: F.when(
+        F.length(m) > limit, F.concat(F.substring(m, 1, limit), F.lit("…"))
+    ).otherwise(m))

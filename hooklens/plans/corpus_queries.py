@@ -10,7 +10,8 @@ from hooklens.operators import corpus as C, metrics as M, split as SP, synth, va
 from hooklens.operators.flags import robustness_flags
 from hooklens.plans import sql, views
 from hooklens.schema import EXPERIMENT_COLUMNS, PREDICTION, require_columns
-from hooklens.session import fresh_dir
+from hooklens.session import fresh_dir, written
+from hooklens.sources.csv_split import read_csv_split
 from hooklens.sources.readers import read_csv, read_messages
 from hooklens.sources.writers import append_feedback, read_feedback, write_table
 from hooklens.streaming.jobs import feedback_stream, start_append
@@ -114,6 +115,33 @@ def read_messages_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _digested(read_messages(spark, path, "csv").select(*columns), "subject", "body", "headers_raw", "html")
 
 
+def csv_split(spark: SparkSession, sf: str) -> DataFrame:
+    """All messages through one large CSV file, read by many tasks; missing and empty texts stay apart.
+
+    The file is small at test scale, so byte ranges of 64 KB stand for those of 128 MB.
+    """
+    path = fresh_dir(spark, "messages")
+    rows = views.messages(spark, sf, "id", "label", "subject", "body", "html", "headers_raw")
+    subject = F.when(F.col("id") % 5 != 0, F.when(F.col("id") % 5 != 1, F.col("subject")).otherwise(""))
+    quoted = F.concat(F.lit('"x,"\n"'), F.col("body"), F.lit('"\r\n'))
+    write_table(rows.withColumns({"subject": subject, "body": quoted}).coalesce(1), path, "csv")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, 1 << 16)
+        # the ranges are dealt out here
+        read = read_csv_split(spark, path)
+        parts = written(read.withColumn("_part", F.spark_partition_id()), "read")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    texts = ("subject", "body", "html", "headers_raw")
+    return parts.select(
+        F.col("id").cast("bigint").alias("id"), "label", *[F.md5(c).alias(f"{c}_md5") for c in texts],
+        (F.col("subject") == "").alias("empty_subject"),
+    )
+
+
 def _feedback_folder(spark: SparkSession, sf: str) -> str:
     """Labels as feedback records, appended in two batches."""
     path, key = fresh_dir(spark, "feedback"), F.col("doc_id")
@@ -179,6 +207,7 @@ QUERIES = {
     "q_test_subset": test_subset,
     "q_sink_roundtrip": sink_roundtrip,
     "q_read_messages": read_messages_csv,
+    "q_csv_split": csv_split,
     "q_feedback": feedback,
     "q_feedback_stream": feedback_kept,
     "q_synth_headers": synth_headers,
@@ -324,6 +353,10 @@ def oracle() -> dict[str, str]:
             f"SELECT id, label, {_digest('subject', 'body')}, date, source, "
             f"{_digest('headers_raw', 'html')} FROM (SELECT * REPLACE (nullif(subject, '') AS subject, "
             "nullif(body, '') AS body, nullif(html, '') AS html) FROM messages WHERE label IS NOT NULL)", m),
+        "q_csv_split": sql.select(
+            """SELECT id, label, md5(s) AS subject_md5, md5('"x,"' || chr(10) || '"' || body || '"' || chr(13) || chr(10)) AS body_md5,
+            md5(html) AS html_md5, md5(headers_raw) AS headers_raw_md5, s = '' AS empty_subject
+            FROM (SELECT *, CASE id % 5 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE subject END AS s FROM messages)""", m),
         "q_feedback": sql.select("SELECT * FROM feedback", _FEEDBACK),
         "q_feedback_stream": sql.select(
             "SELECT * FROM feedback WHERE id IS NOT NULL AND label_true IS NOT NULL", _FEEDBACK),

@@ -98,11 +98,31 @@ def header_features(spark: SparkSession, sf: str) -> DataFrame:
     return HT.header_features(views.messages(spark, sf, "id", "headers_raw"))
 
 
+#: HTML with one anchor, and its text and target as a parser sees them; `{id}` is the message's id.
+HARD_LINKS = (
+    ('<a title="a>b" href="http://evil{id}.com/x">evil.com</a>', "evil.com", "http://evil{id}.com/x"),
+    ("<a href='http://b{id}.com' title='x href=y>'>b{id}&#00000046;com</a>", "b{id}.com", "http://b{id}.com"),
+    ("<A HREF=http://c{id}.com/&#x0000002e;>C</A>", "c", "http://c{id}.com/."),
+    ('<a href="http://d.com/?a={id}&copy=2&lt;&copy">&copy2020 d</a>', "©2020 d", "http://d.com/?a={id}&copy=2<©"),
+    ('<a href="http://e{id}.com">e&#150;f &#x80;&#0000000000000065;</a>', "e–f €a", "http://e{id}.com"),
+    ('<a title="href=http://no.com" data-href="http://no.com" href="http://f{id}.com">1 < 2 &lt;b&gt;</a>',
+     "1 < 2 <b>", "http://f{id}.com"),
+    ('<a href="http://g{id}.com"><img alt="x > y">&notit; &amp;amp;</a>', "¬it; &amp;", "http://g{id}.com"),
+    ('<a href="http://h{id}.com" href="http://i.com">&#xD800;&#1114112;&#0;&#99999999999999999999;</a>',
+     "\ufffd\ufffd\ufffd\ufffd", "http://h{id}.com"),
+    ('<a href = "mailto:{id}@y.z" >&nbsp;mail&NonExisting; & &; &#; &#x;</a>', "mail&nonexisting; & &; &#; &#x;", "mailto:{id}@y.z"),
+    ("<a title=it's href=http://j{id}.com>j&AMP &NotEqualTilde;</a>", "j& \u2242\u0338", "http://j{id}.com"),
+)
+
+
 def link_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Anchors of the message HTML and of the web pages."""
+    """Anchors of the message HTML and of the web pages, and of HTML that only a parser reads right."""
     mail = views.messages(spark, sf, "id", "html").withColumn("origin", F.lit("message"))
     pages = views.table(spark, sf, "pages").select(F.col("page_id").alias("id"), "html")
     both = mail.unionByName(pages.withColumn("origin", F.lit("page")))
+    kinds = F.array(*[F.lit(html) for html, _, _ in HARD_LINKS])
+    hard = F.replace(F.get(kinds, (F.col("id") % len(HARD_LINKS)).cast("int")), F.lit("{id}"), F.col("id").cast("string"))
+    both = both.unionByName(views.messages(spark, sf, "id").select("id", hard.alias("html"), F.lit("hard").alias("origin")))
     links = HT.link_table(both.withColumn("id", F.concat("origin", F.lit(":"), "id")))
     return _wide_ints(links)
 
@@ -377,7 +397,12 @@ def oracle() -> dict[str, str]:
             + ", ".join(f"{x.strip()}::INT::DOUBLE AS {x.strip()}" for x in flags.split(","))
             + " FROM headers", m, HEADERS),
         "q_link_table": sql.select(
-            "SELECT id, pos, text, href, host, mismatch FROM links", m,
+            f"""SELECT id, pos, text, href, host, mismatch FROM links
+            UNION ALL SELECT *, host <> '' AND NOT contains(text, host) FROM (
+              SELECT 'hard:' || id, 0, replace(kinds[id % len(kinds) + 1].text, '{{id}}', id::VARCHAR) AS text,
+                replace(kinds[id % len(kinds) + 1].href, '{{id}}', id::VARCHAR) AS href,
+                coalesce(regexp_extract(href, '^https?://([^/?]*)', 1), '') AS host
+              FROM messages, (SELECT [{", ".join("{'text': " + sql.q(t) + ", 'href': " + sql.q(h) + "}" for _, t, h in HARD_LINKS)}] AS kinds))""", m,
             """htmls AS (SELECT 'message:' || id AS id, html FROM messages
                UNION ALL SELECT 'page:' || page_id, html FROM pages)""", links("htmls")),
         "q_anchor_mismatch": sql.select("SELECT * FROM mismatches", m, MISMATCH),

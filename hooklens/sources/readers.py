@@ -8,11 +8,12 @@ from hooklens import schema as S
 from hooklens.functions.text import label_name, text_projection
 from hooklens.operators.corpus import require_labels
 from hooklens.operators.rules import FALLBACK_THRESHOLD
+from hooklens.sources.csv_split import read_csv_split
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header; quoted fields may span lines and double their quotes.
-    An empty field, quoted or not, is null: CSV does not tell the two apart."""
+    """CSV with a header by Spark's own reader, one task a file; quoted fields may span lines and double their
+    quotes. An empty field, quoted or not, is null. `read_csv_split` reads a large file by many tasks."""
     reader = spark.read.options(header=True, multiLine=True, escape='"')
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
@@ -22,8 +23,8 @@ def read_messages(
 ) -> DataFrame:
     """Labelled message table with the columns the experiments need."""
     if format == "csv":
-        # with a header Spark matches a given schema by position, so names come from the file
-        raw = read_csv(spark, path)
+        # names come from the file; a quoted empty field is null, as an empty one is
+        raw = read_csv_split(spark, path, empty_as_null=True)
     else:
         raw = spark.read.format(format).load(path)
     S.require_columns(raw, S.EXPERIMENT_COLUMNS)

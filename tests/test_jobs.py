@@ -199,3 +199,30 @@ def test_merged_terms_change_no_score(spark):
         of = {r["term"]: r["share"] * fitted[r["feature"]] for r in text.index.collect()}
         assert bound <= 1e-6
         assert np.allclose([of[t] for t in terms], plain[:-1], atol=1e-5) and abs(fitted[-1] - plain[-1]) < 1e-5
+
+
+@pytest.mark.parametrize("size", [300, 1 << 20])
+def test_csv_split_at_any_byte(spark, tmp_path, size):
+    """Byte ranges much shorter than a record, fields of many ranges, and the plain parser as the judge."""
+    import csv as plain
+
+    from hooklens.sources.csv_split import read_csv_split
+
+    fields = ["", "a", 'q"q', "line\nbreak", ",", '"', '""', "\r\n", "é\n\n日", "x" * 300, '\n"\n"\n' * 9, " pad "]
+    rows = [[str(i), fields[i % len(fields)], fields[(i * 7 + 3) % len(fields)]] for i in range(60)]
+    for name in ("a", "b"):
+        with open(tmp_path / f"{name}.csv", "w", newline="", encoding="utf-8") as out:
+            writer = plain.writer(out, lineterminator="\r\n" if name == "b" else "\n", quoting=plain.QUOTE_ALL)
+            writer.writerow(["id", 'odd "name"', "text"])
+            writer.writerows([[name + r[0], *r[1:]] for r in rows])
+            if name == "a":
+                out.write("\nbare,,\n")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [tuple(r) for r in read_csv_split(spark, str(tmp_path)).collect()]
+        names = read_csv_split(spark, str(tmp_path)).columns
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    expected = [(n + r[0], *r[1:]) for n in "ab" for r in rows] + [("bare", None, None)]
+    assert sorted(got, key=str) == sorted(expected, key=str) and names == ["id", 'odd "name"', "text"]

@@ -243,3 +243,32 @@ def test_text_projection_and_labels(spark):
 def test_lists_from_configuration():
     rules = lists.RuleLists.from_mapping({"suspect_tlds": [".tk"], "ptbr_markers": ["pix"]})
     assert rules.suspect_tlds == ("tk",) and rules.shorteners == () and rules.markers == ("pix",)
+
+
+@pytest.mark.parametrize(
+    "fragment, text, href",
+    [
+        ("<a" + " x='>'" * 20000 + " href=http://far.com>t</a>", "t", "http://far.com"),
+        ('<a href="http://a.com/' + "&#x" + "0" * 5000 + '41;">&' + "a" * 5000 + ";</a>", "&" + "a" * 5000 + ";", "http://a.com/a"),
+        ('<a href="unclosed>t</a>', "t", "unclosed"),
+        ("<a href>t&#13;&#x9F;</a>", "t\rŸ".lower(), ""),
+        ("<a href=x>&ampamp;&am;&lt</a>", "&amp;&am;<", "x"),
+        ("<a href='?a&lt=1&ltx&lt;'>&lt=</a>", "<=", "?a&lt=1&ltx<"),
+    ],
+)
+def test_anchor_parts(spark, fragment, text, href):
+    """Tags of any length and quoting, references of any length; as the HTML standard reads them."""
+    df = spark.createDataFrame([(1, fragment)], "id long, html string")
+    row = HT.link_table(df).first()
+    assert (row["text"], row["href"]) == (text, href)
+
+
+def test_named_references_against_the_standard_library(spark):
+    import html as standard
+
+    names = sorted(L.html5)
+    texts = ["&" + n for n in names] + ["&" + n + "xyz;" for n in names if not n.endswith(";")]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, html string")
+    got = {r["id"]: r["t"] for r in df.select("id", L._decode(F.col("html"), F.lit(L._NAMES)).alias("t")).collect()}
+    wrong = [t for i, t in enumerate(texts) if got[i] != standard.unescape(t).replace(" ", " ")]
+    assert not wrong
