@@ -29,11 +29,12 @@ _KINDS = (
     ("assign", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 6),
     ("access", r"AKIA[A-Z0-9]+", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
-    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 1),
+    ("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\\ \t\r\n:,-]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+     r"|(?:(?:\\[nr]|[ \t\r\n])+[A-Za-z0-9+/]{16,}=*)*(?:(?:\\[nr]|[ \t\r\n])+[A-Za-z0-9+/]+=+)?)", 0, 1),
     ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     ("hub", r"gh[pousr]_[A-Za-z0-9]{36,}", 0, 1),
     ("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", 0, 1),
-    ("basic", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,80}:[^\s/:@]{1,80}@", 0, 1),
+    ("basic", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]+:[^\s/:@]+@", 0, 1),
 )
 
 

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hooklens.llm.common import bind, drop_columns, written
+from hooklens.llm.components import HOT
 
 #: In this order spans sort by start, then kind.
 SPAN = "struct<start:int,kind:int,end:int>"
@@ -56,12 +57,18 @@ BASE = RuleSet("base-1", (
     SecretRule("hex", r"[0-9a-f]{24,}"),
 ))
 
-EXTRA = RuleSet("extra-1", (
-    SecretRule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", hint="PRIVATE KEY-----"),
+#: A key ends at its END line or, without one, with its last line of key characters. Line breaks may be written as \\n.
+PEM = (
+    r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----(?:[A-Za-z0-9+/=\\ \t\r\n:,-]*?-----END [A-Z ]{0,40}PRIVATE KEY-----"
+    r"|(?:(?:\\[nr]|[ \t\r\n])++[A-Za-z0-9+/]{16,}+=*+)*+(?:(?:\\[nr]|[ \t\r\n])++[A-Za-z0-9+/]++=++)?+)"
+)
+
+EXTRA = RuleSet("extra-2", (
+    SecretRule("pem", PEM, hint="PRIVATE KEY-----"),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", hint="eyJ"),
     SecretRule("hub", r"gh[pousr]_[A-Za-z0-9]{36,}", hint="gh[pousr]_"),
     SecretRule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", hint="xox"),
-    SecretRule("basic", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]{1,80}:[^\s/:@]{1,80}@", hint="://"),
+    SecretRule("basic", r"[a-z][a-z0-9+.-]{1,20}://[^\s/:@]+:[^\s/:@]+@", hint="://"),
 ))
 
 RULE_SETS = (BASE, EXTRA)
@@ -108,15 +115,6 @@ def rule_spans(text: Column, rule: SecretRule, number: int) -> Column:
     return F.when(there, bind(found, lambda m: place(m))).otherwise(empty)
 
 
-def scan(blobs: DataFrame, rule_set: RuleSet, first_kind: int, text: str = "text") -> DataFrame:
-    """Add `rule_version` and `spans`, by start and then kind, to a table of texts."""
-    value = F.coalesce(F.col(text), F.lit(""))
-    found = [rule_spans(value, r, first_kind + i) for i, r in enumerate(rule_set.rules)]
-    return blobs.withColumns({
-        "rule_version": F.lit(rule_set.version), "spans": F.sort_array(F.concat(*found)),
-    })
-
-
 def blob_id(text: Column) -> Column:
     return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
 
@@ -132,39 +130,50 @@ def update_ledger(
     append it to the ledger table.
     """
     blobs = paths.select(blob_id(F.col(text)).alias("blob"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    new, first = [], 0
+    # a blob folds into one row before anything is joined to it; the join reuses that shuffle
+    blobs = blobs.dropDuplicates(["blob"])
+    none = F.array().cast("array<string>")
     if ledger is None:
-        # every version is new: one pass over the distinct blobs scans for all of them
-        blobs = blobs.dropDuplicates(["blob"])
-        found = []
-        for rules in rule_sets:
-            spans = F.sort_array(F.concat(*[
-                rule_spans(F.col("text"), r, first + i) for i, r in enumerate(rules.rules)
-            ]))
-            found.append(F.struct(F.lit(rules.version).alias("rule_version"), spans.alias("spans")))
-            first += len(rules.rules)
-        return blobs.select("blob", F.inline(F.array(*found)))
+        blobs = blobs.withColumn("_known", none)
+    else:
+        versions = [r.version for r in rule_sets]
+        known = ledger.filter(F.col("rule_version").isin(versions)).groupBy("blob").agg(
+            F.collect_set("rule_version").alias("_known")
+        )
+        blobs = blobs.join(known, "blob", "left").withColumn("_known", F.coalesce("_known", none))
+        blobs = blobs.filter(F.size("_known") < len(versions))
+    found, first = [], 0
     for rules in rule_sets:
-        known = ledger.filter(F.col("rule_version") == rules.version).select("blob")
-        unseen = blobs.join(known, "blob", "left_anti").dropDuplicates(["blob"])
-        new.append(scan(unseen, rules, first).select("blob", "rule_version", "spans"))
+        spans = F.sort_array(F.concat(*[
+            rule_spans(F.col("text"), r, first + i) for i, r in enumerate(rules.rules)
+        ]))
+        entry = F.struct(F.lit(rules.version).alias("rule_version"), spans.alias("spans"))
+        found.append(F.when(~F.array_contains("_known", rules.version), entry))
         first += len(rules.rules)
-    result = new[0]
-    for more in new[1:]:
-        result = result.unionByName(more)
-    return result
+    rows = blobs.select("blob", F.explode_outer(F.array(*found)).alias("_e"))
+    return rows.filter(F.col("_e").isNotNull()).select("blob", "_e.*")
 
 
 def findings(
     paths: DataFrame, ledger: DataFrame, rule_sets: Sequence[RuleSet] = RULE_SETS, text: str = "text"
 ) -> DataFrame:
-    """Add `spans` of all given rule sets to every path, by blob."""
+    """Add `spans` of all given rule sets to every path, by blob. Runs jobs when called."""
     versions = [r.version for r in rule_sets]
     hits = ledger.filter(F.col("rule_version").isin(versions) & (F.size("spans") > 0))
     # one row per blob and version, a bounded few for each blob
     by_blob = hits.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
     rows = drop_columns(paths, "spans", "_blob").withColumn("_blob", blob_id(F.col(text)))
-    joined = rows.join(by_blob.withColumnRenamed("blob", "_blob"), "_blob", "left")
+    hits_of = written(by_blob.withColumnRenamed("blob", "_blob"), "hits")
+    # a text of more than 1/HOT of all rows that holds a secret: fewer than HOT such texts, looked up by broadcast
+    copies = rows.select("_blob").join(hits_of, "_blob", "left_semi").groupBy("_blob").agg(F.count("*").alias("_c"))
+    often = written(copies.filter(F.col("_c") * HOT > rows.count()).select("_blob"), "often")
+    if often.isEmpty():
+        joined = rows.join(hits_of, "_blob", "left")
+    else:
+        there = F.broadcast(often)
+        joined = rows.join(F.broadcast(hits_of.join(there, "_blob", "left_semi")), "_blob").unionByName(
+            rows.join(there, "_blob", "left_anti").join(hits_of, "_blob", "left")
+        )
     return joined.withColumn(
         "spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>"))
     ).drop("_blob")
@@ -176,7 +185,7 @@ def scan_documents(
 ) -> DataFrame:
     """Scan what is new, write it as ledger rows and add `spans` to every path.
 
-    Runs one job when called: the new ledger rows are written to the shared folder.
+    Runs its jobs when called: the new ledger rows and the blobs with findings are written to the shared folder.
     """
     new = written(update_ledger(paths, rule_sets, ledger, text), "secret-ledger")
     whole = new if ledger is None else ledger.select("blob", "rule_version", "spans").unionByName(new)
