@@ -5,7 +5,7 @@ vector of two lanes, and the fingerprint is the sum of the vectors, each lane mo
 
 - identity: `IDENTITY` words of 64 bits from a hash of the paragraph's bytes, summed modulo 2**64;
 - likeness: for every run of `RUN` words inside the paragraph (a shorter paragraph is one run), plus
-  or minus one in one of `BINS` counters, summed modulo 2**16.
+  or minus one in one of `BINS` counters, summed modulo 2**32.
 
 Sums do not know an order, so equal multisets of paragraphs have equal fingerprints, and a paragraph is
 put in or taken out by adding or subtracting its vector, without the rest of the text. The distance of
@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 IDENTITY = 8
 BINS = 256
 RUN = 3
-WIDTH = IDENTITY * 8 + BINS * 2
-#: One likeness counter overflows at 2**15 runs more of one sign than of the other; likeness is for texts below that.
+#: A text column holds fewer than 2**31 bytes, so fewer than 2**30 runs of words: a counter of 32 bits never wraps.
+WIDTH = IDENTITY * 8 + BINS * 4
 _SPACE = b" \t\n\x0b\x0c\r"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -93,7 +93,7 @@ def vectors(texts: list[bytes]) -> np.ndarray:
             slot = run_owner * BINS + (run_hash & np.uint64(BINS - 1)).astype(np.int64)
             counted = np.bincount(slot, weights=sign, minlength=len(texts) * BINS)
             counters = counted.reshape(len(texts), BINS).astype(np.int64)
-    out[:, 8 * IDENTITY :] = counters.astype("<u2").view(np.uint8).reshape(len(texts), 2 * BINS)
+    out[:, 8 * IDENTITY :] = counters.astype("<u4").view(np.uint8).reshape(len(texts), 4 * BINS)
     return out
 
 
@@ -119,7 +119,7 @@ def _runs(hashes: np.ndarray, line: np.ndarray, owner: np.ndarray) -> tuple[np.n
 def add(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
     """Sum (or difference, sign -1) of fingerprints, row by row."""
     out = np.empty_like(a)
-    for part, kind in ((slice(0, 8 * IDENTITY), "<u8"), (slice(8 * IDENTITY, WIDTH), "<u2")):
+    for part, kind in ((slice(0, 8 * IDENTITY), "<u8"), (slice(8 * IDENTITY, WIDTH), "<u4")):
         x = np.ascontiguousarray(a[:, part]).view(kind)
         y = np.ascontiguousarray(b[:, part]).view(kind)
         out[:, part] = (x + y if sign > 0 else x - y).view(np.uint8).reshape(len(a), -1)
@@ -127,7 +127,7 @@ def add(a: np.ndarray, b: np.ndarray, sign: int = 1) -> np.ndarray:
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    lane = lambda v: np.ascontiguousarray(v[:, 8 * IDENTITY :]).view("<i2").astype(np.float64)
+    lane = lambda v: np.ascontiguousarray(v[:, 8 * IDENTITY :]).view("<i4").astype(np.float64)
     x, y = lane(a), lane(b)
     whole = (x * x).sum(axis=1) + (y * y).sum(axis=1)
     apart = ((x - y) ** 2).sum(axis=1)

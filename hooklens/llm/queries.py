@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hooklens.llm import (
     brown, bytebpe, chat, jaccard, langid, lexical, merkle, mixing, multiset, quality, secrets, sharding, simhash,
 )
-from hooklens.llm.common import table
+from hooklens.llm.common import table, written
 
 
 def op1_brown_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,10 +31,10 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprint of every document, of its edited form, and their likeness. The fingerprint's digest stands for it."""
+    """Fingerprint of every document, of its edited form, and their likeness. Fingerprints are their bytes in base64."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return multiset.edit_study(spark, docs).withColumns({
-        c: F.sha2(c, 256) for c in ("fingerprint", "edited_fingerprint")
+        c: F.base64(c) for c in ("fingerprint", "edited_fingerprint")
     })
 
 
@@ -89,9 +89,11 @@ def op8_chat_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Secrets of every document, from a ledger of its distinct texts."""
+    """Secrets of every document. A first scan writes the ledger of the documents with an even id; the second one
+    reads only the pairs that ledger does not hold."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = secrets.scan_documents(docs)
+    ledger = written(secrets.update_ledger(docs.filter("doc_id % 2 = 0")), "secret-ledger")
+    found = secrets.scan_documents(docs, ledger=ledger)
     names = secrets.kinds()
     base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE.rules))
     count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("bigint")

@@ -68,3 +68,11 @@ def test_empty_single_and_fingerprint_column(spark):
     assert one.near_next == 1.0
     rows = m.fingerprint(documents(spark, HARD)).collect()
     assert {(r.doc_id, bytes(r.fingerprint)) for r in rows} == {(i, of(t or "")[0].tobytes()) for i, t, *_ in HARD}
+
+
+def test_counters_do_not_wrap():
+    """70,000 and 40,000 repeats of a line: far more than 16 bits hold."""
+    line = "some very common line of words\n"
+    many, more, few = of(line * 65536, line * 65535, line * 32768)[:, None]
+    assert m.likeness(many, more)[0] > 0.999 and 0.7 < m.likeness(many, few)[0] < 0.9
+    assert not (many == m.add(many, many, -1)).all()
