@@ -118,7 +118,7 @@ def largest_gap(cells: DataFrame, dimensions: Sequence[str]) -> float:
 
 def mix(
     docs: DataFrame, targets: Mapping[str, Mapping[str, float] | float] | None = None, rate: float = 0.5,
-    seed: int = 71, text: str = "text", topic: Column | None = None,
+    seed: int = 71, text: str = "text", topic: Column | None = None, cut: bool = True,
 ) -> DataFrame:
     """Add `topic`, `n_tokens`, `cell_weight` (target share over own share), `probability`, `weight`
     and `sampled` to documents with `doc_id, source, lang`.
@@ -126,12 +126,19 @@ def mix(
     `rate` is the share of all tokens to keep. `targets` has, by dimension, shares by category or a
     power; by default each dimension moves half way, in the power, to equal shares. The texts are read
     once for the cells and joined in by none: the draws come with their narrow rows.
+
+    `topic` is a column of that name where the table has one, else the form of the text. Where a probability
+    would be above one, the rest goes into `weight`; without `cut` the rate is lowered instead until none is, so
+    that the sample itself meets the targets.
     """
     targets = targets or {d: 0.5 for d in DIMENSIONS}
-    made = ("topic", "n_tokens", "cell_weight", "probability", "weight", "sampled")
-    rows = drop_columns(docs, *made).withColumns({
-        "topic": topic if topic is not None else form_topic(F.col(text)), "n_tokens": token_count(F.col(text)),
-    })
+    made = ("n_tokens", "cell_weight", "probability", "weight", "sampled")
+    if topic is None:
+        own = [c for c in docs.columns if c.lower() == "topic"]
+        topic = F.col(f"`{own[0]}`") if own else form_topic(F.col(text))
+    rows = docs.withColumn("_topic", topic)
+    rows = drop_columns(rows, "topic", *made).withColumnRenamed("_topic", "topic")
+    rows = rows.withColumn("n_tokens", token_count(F.col(text)))
     # cells are sums over a first reading of the texts; the documents are then read again and get
     # their cell's factor by a join on the cell, so no text is shuffled unless cells outgrow a broadcast
     keys = {f"_c_{d}": category(d) for d in targets}
@@ -144,6 +151,8 @@ def mix(
     by_cell = written(
         weighted.select(*[F.col(d).alias(k) for d, k in zip(targets, keys)], factor.alias("cell_weight")), "mix-factors"
     )
+    if not cut:
+        rate = min(rate, 1.0 / max(by_cell.agg(F.max("cell_weight")).first()[0] or 1.0, 1.0))
     joined = rows.withColumns(keys).join(by_cell, list(keys), "left").drop(*keys)
     wanted = F.col("cell_weight") * rate
     value = F.coalesce(F.col(text), F.lit(""))

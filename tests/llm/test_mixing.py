@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hooklens.llm import mixing
 from tests.llm.helpers import HARD, WORDS, documents
@@ -75,3 +76,16 @@ def test_hard_rows_and_empty_table(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     clash = documents(spark, [(0, "a b", "x", "y")]).withColumnRenamed("n_chars", "Weight")
     assert mixing.mix(clash).first().n_tokens == 2
+
+
+def test_own_topic_and_uncut_probabilities(spark):
+    rows = [(i, "word " * (3 + i % 50), "en" if i % 9 else "fr", "a" if i % 3 else "b") for i in range(400)]
+    docs = documents(spark, rows).withColumn("Topic", F.when(F.col("doc_id") % 7 == 0, "rare").otherwise("T"))
+    kept = mixing.mix(docs, targets={"lang": 0.2, "topic": 0.5}, rate=0.9, cut=False).collect()
+    assert {r.topic for r in kept} == {"rare", "T"} and len(kept) == 400
+    assert max(r.probability for r in kept) <= 1.0 + 1e-12 and {r.weight for r in kept} == {1.0}
+    assert max(r.probability for r in kept) > 0.999
+    total = sum(r.n_tokens * r.probability for r in kept)
+    share = sum(r.n_tokens * r.probability for r in kept if r.lang == "fr") / total
+    tokens = {lang: sum(r.n_tokens for r in kept if r.lang == lang) for lang in ("en", "fr")}
+    assert abs(share - tokens["fr"] ** 0.2 / (tokens["fr"] ** 0.2 + tokens["en"] ** 0.2)) < 1e-3
