@@ -8,7 +8,7 @@ words) does not fail. Rows that repeat are judged each on their own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -133,10 +133,16 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         "ellipsis_line_ratio", "exclaimed_ratio",
     )
     rows = drop_columns(docs, *names, "_metrics").withColumn("_metrics", metrics(F.col(text)))
-    m, words, lines = F.col("_metrics"), F.col("_metrics.words"), F.col("_metrics.lines")
+    made = named_metrics(F.col("_metrics"))
+    return rows.select(*[c for c in rows.columns if c != "_metrics"], *[v.alias(k) for k, v in made.items()])
+
+
+def named_metrics(m: Column) -> dict[str, Column]:
+    """The metric columns of a struct of metrics."""
+    words, lines = m["words"], m["lines"]
     over = lambda a, b: F.when(b > 0, a.cast("double") / b)
     n, n_lines = words["n_words"], lines["n_lines"]
-    made = {
+    return {
         "n_words": n,
         "word_chars": words["word_chars"],
         "n_symbols": m["n_symbols"],
@@ -152,21 +158,37 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         "ellipsis_line_ratio": over(lines["n_ellipsis_lines"], n_lines),
         "exclaimed_ratio": over(m["n_exclaimed"], n),
     }
-    return rows.select(*[c for c in rows.columns if c != "_metrics"], *[v.alias(k) for k, v in made.items()])
 
 
-def failed(rule: Rule) -> Column:
-    metric = F.col(rule.metric)
+def failed(rule: Rule, values: Mapping[str, Column] | None = None) -> Column:
+    of = F.col if values is None else values.__getitem__
+    metric = of(rule.metric)
     bad = F.lit(False)
     if rule.low is not None:
         bad = bad | (metric < rule.low)
     if rule.high is not None:
         bad = bad | (metric > rule.high)
     if rule.min_words:
-        bad = bad & (F.col("n_words") >= rule.min_words)
+        bad = bad & (of("n_words") >= rule.min_words)
     return F.coalesce(bad, F.lit(False))
 
 
+def passing(docs: DataFrame, text: str = "text", rules: Sequence[Rule] | None = None) -> DataFrame:
+    """The documents that no rule rejects, as they are.
+
+    A filter on a computed column moves below the projection and takes the computation along for every use. The
+    verdict is therefore one value of a generator, which no filter passes: the metrics are made once a text.
+    """
+    rules = (*BASE_RULES, *METHOD_RULES) if rules is None else rules
+
+    def verdict(m: Column) -> Column:
+        values = named_metrics(m)
+        return ~F.array_contains(F.array(F.lit(False), *[failed(r, values) for r in rules]), True)
+
+    rows = docs.select("*", F.explode_outer(F.array(bind(metrics(F.col(text)), verdict))).alias("_passes"))
+    return rows.filter("_passes").drop("_passes")
+
+
 def judge(
     docs: DataFrame,
     text: str = "text",

@@ -51,3 +51,13 @@ def test_clashing_columns_and_empty_table(spark):
 def test_one_projection_without_python_or_shuffle(spark):
     plan = quality.judge(documents(spark, []))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan and "Arrow" not in plan
+
+
+def test_passing_is_the_verdict_made_once(spark):
+    docs = documents(spark, HARD + [(50 + i, f"The {i} cats and a dog of the house are in it now, they said.", "en", "a") for i in range(5)])
+    want = sorted(((r.doc_id, r.text) for r in quality.judge(docs).filter("kept").collect()), key=str)
+    found = quality.passing(docs)
+    assert want and sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == want and found.columns == docs.columns
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    judged = quality.judge(docs)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_extract_all") == judged.count("regexp_extract_all")
