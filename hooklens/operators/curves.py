@@ -1,19 +1,22 @@
 """Precision-recall and ROC points, areas and threshold choice.
 
 Scores are first reduced to one row per distinct score, so equal scores cost one row, and
-the running counts use score buckets (see `ranking`). Each point carries the counts of the
+the running counts use written score ranges. Each point carries the counts of the
 point before it, so areas and the choice of thresholds are plain aggregates.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from hooklens.operators.ranking import bucket_index, score_cuts
+from hooklens.session import shuffle_partitions, written
 
 RECALL_FLOOR = 0.90
+#: Distinct scores summed in one piece, about.
+RANGE_ROWS = 500_000
 
 
 def _share(part: Column, whole: Column, default: float) -> Column:
@@ -30,16 +33,22 @@ def cumulative_counts(
 ) -> DataFrame:
     """Per distinct score: rows of each class at it, and at or above it.
 
-    Columns: the group, `threshold, pos, neg, tp, fp, n_pos, n_neg`.
+    Columns: the group, `threshold, pos, neg, tp, fp, n_pos, n_neg`. Runs jobs when called: the distinct scores are
+    cut into ranges by one range shuffle, as many as there are rows for, and written with their range. So any number
+    of distinct scores is summed in bounded pieces, and nothing of the ranges is in the plan.
     """
     by = list(by)
-    cuts = [F.lit(c) for c in score_cuts(predictions, "score", buckets)]
+    if buckets is None:
+        rows = predictions.count()
+        buckets = max(shuffle_partitions(predictions.sparkSession), math.ceil(rows / RANGE_ROWS))
     points = (
         predictions.groupBy(*by, F.col("score").alias("threshold"))
         .agg(F.sum("y_true").cast("bigint").alias("pos"), F.count("*").alias("_all"))
         .withColumn("neg", F.col("_all") - F.col("pos"))
-        .withColumn("_bucket", bucket_index(F.col("threshold"), cuts))
+        .repartitionByRange(buckets, *by, F.desc("threshold"))
+        .withColumn("_bucket", -F.spark_partition_id())
     )
+    points = written(points, "points")
     # one row per bucket: what lies above it, and the class totals
     whole = W.partitionBy(*by)
     above = whole.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)

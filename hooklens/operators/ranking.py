@@ -1,15 +1,12 @@
-"""Global row numbers and running sums without a one-partition window.
+"""Global row numbers without a one-partition window.
 
-A table is cut into ordered buckets, rows are counted per bucket, and each row is placed
-inside its bucket on top of the count of all earlier buckets. The cut points only balance
-the work: any cuts give the same result. Row numbers take Spark's range partitioner and
-write its outcome once; running sums over scores take quantiles as literals of the plan,
-hence the bucket of a score is a pure function of it.
+A table is cut into ordered ranges by Spark's range partitioner, whose outcome is written once; rows are counted per
+range, and each row is placed inside its range on top of the count of all earlier ones. The cut points only balance
+the work: any cuts give the same result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -20,27 +17,6 @@ from hooklens.session import shuffle_partitions, written
 PLACE_BITS = 33
 
 
-def bucket_index(key: Column, cuts: Sequence[Column]) -> Column:
-    """Number of cut points not above the key, found by binary search in a literal array."""
-    if not cuts:
-        return F.lit(0)
-    array, n = F.array(*cuts), len(cuts)
-
-    def halve(span: Column, _step: Column) -> Column:
-        low, high = span["low"], span["high"]
-        middle = F.shiftright(low + high, 1)
-        open_span = low < high
-        above = F.try_element_at(array, middle + 1) <= key
-        return F.struct(
-            F.when(open_span & above, middle + 1).otherwise(low).alias("low"),
-            F.when(open_span & ~above, middle).otherwise(high).alias("high"),
-        )
-
-    steps = F.sequence(F.lit(1), F.lit(math.ceil(math.log2(n + 1))))
-    start = F.struct(F.lit(0).alias("low"), F.lit(n).alias("high"))
-    return F.aggregate(steps, start, halve, lambda span: span["low"])
-
-
 def with_row_number(
     df: DataFrame,
     order: Sequence[Column],
@@ -71,13 +47,3 @@ def with_row_number(
     before = totals.select("_bucket", F.coalesce(F.sum("_p").over(earlier), F.lit(0)).alias("_before"))
     joined = placed.withColumn("_bucket", bucket).join(F.broadcast(before), "_bucket")
     return joined.select((inside + F.col("_before") + start).cast("bigint").alias(name), *others)
-
-
-def score_cuts(df: DataFrame, column: str, buckets: int | None = None) -> list[float]:
-    """Distinct approximate quantiles of a numeric column, to be used as bucket limits."""
-    buckets = buckets or shuffle_partitions(df.sparkSession)
-    if buckets < 2:
-        return []
-    shares = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.approx_percentile(column, shares, 10 * buckets).alias("q")).first()["q"]
-    return sorted(set(found or []))

@@ -77,14 +77,17 @@ def any_record(records: Column, field: str) -> Column:
 
 
 def message_url_features(
-    messages: DataFrame, suspect_tlds: Sequence[str] = lists.SUSPECT_TLDS
+    messages: DataFrame, suspect_tlds: Sequence[str] = lists.SUSPECT_TLDS, keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Per message: mean of the numeric and any of the boolean URL signals; zeros without URL.
 
     The URLs of a message sit in its own row, so they are folded there instead of being
-    exploded and grouped again, which would shuffle every message.
+    exploded and grouped again, which would shuffle every message. With `keep` only those columns
+    stay: the texts then end with the extraction and do not go on to the normalisation.
     """
     kept = messages.withColumn("_urls", U.extract_urls(message_text(), "loose"))
+    if keep is not None:
+        kept = kept.select(*keep, "_urls")
     normal = kept.withColumn("_urls", U.normalise_urls(F.col("_urls")))
     records = normal.withColumn(
         "_records",
@@ -109,6 +112,8 @@ def match_hosts(hosts: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
     host = F.col("host")
     if kind == "equal":
         return hosts.join(entries.select(F.col("entry")).distinct(), host == F.col("entry"))
+    if kind == "contains":
+        return _containing(hosts, entries.select("entry").distinct())
     # one row of distinct lengths, which stays in the plan; an entry may be as long as it likes
     lengths = entries.select(F.sort_array(F.collect_set(F.length("entry")))).scalar()
     columns = hosts.columns
@@ -118,15 +123,37 @@ def match_hosts(hosts: DataFrame, entries: DataFrame, kind: str) -> DataFrame:
         parts = F.transform(usable, lambda n: F.substring(host, F.lit(1), n))
     elif kind == "suffix":
         parts = F.transform(usable, lambda n: F.substring(host, F.length(host) - n + 1, n))
-    elif kind == "contains":
-        windows = F.transform(
-            usable,
-            lambda n: F.transform(
-                F.sequence(F.lit(1), F.length(host) - n + 1), lambda i: F.substring(host, i, n)
-            ),
-        )
-        parts = F.array_distinct(F.flatten(windows))
     else:
         raise ValueError(f"unknown match kind {kind!r}")
     candidates = unnest(hosts, columns, parts, "entry")
     return candidates.join(entries.select("entry").distinct(), "entry")
+
+
+#: Length of the pieces that hosts and entries are compared by.
+GRAM = 4
+
+
+def _windows(text: Column, size: Column | int) -> Column:
+    """All pieces of a length, each once; none of a shorter text."""
+    size = F.lit(size) if isinstance(size, int) else size
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - size + 1))
+    return F.array_distinct(F.transform(F.coalesce(places, F.array().cast("array<int>")), lambda i: F.substring(text, i, size)))
+
+
+def _containing(hosts: DataFrame, entries: DataFrame) -> DataFrame:
+    """Hosts with the entries they contain.
+
+    Every entry is filed under one of its pieces of GRAM characters, the one that the fewest entries have. A host
+    looks up its own pieces, of which it has no more than characters, and checks the entries it finds. Entries
+    shorter than a piece are looked up as they are.
+    """
+    size = F.length("entry")
+    pieces = unnest(entries.filter(size >= GRAM), ["entry"], _windows(F.col("entry"), GRAM), "_g")
+    shared = pieces.groupBy("_g").agg(F.count("*").alias("_n"))
+    filed = pieces.join(shared, "_g").groupBy("entry").agg(F.min(F.struct("_n", "_g"))["_g"].alias("_g"))
+    columns = hosts.columns
+    asked = unnest(hosts, columns, _windows(F.col("host"), GRAM), "_g")
+    found = asked.join(filed, "_g").filter(F.contains("host", "entry")).select(*columns, "entry")
+    short = F.concat(*[_windows(F.col("host"), n) for n in range(1, GRAM)])
+    by_itself = unnest(hosts, columns, short, "entry").join(entries.filter(size < GRAM), "entry")
+    return found.unionByName(by_itself.select(*columns, "entry"))

@@ -42,8 +42,27 @@ def url_signals(spark: SparkSession, sf: str) -> DataFrame:
     return _wide_ints(UT.url_signals(_urls(spark, sf)))
 
 
+#: A URL that normalisation changes, and what it becomes: full-width letters, a ligature, a circled digit, combining
+#: pairs in either order, a Hangul syllable of three letters, a unit, a compatibility ideograph, a no-break space.
+HARD_URLS = (
+    ("http://\uff42\uff41\uff4e\uff4b{id}.com/\uff01", "http://bank{id}.com/!"),
+    ("http://\ufb01n{id}.com/\u2460", "http://fin{id}.com/1"),
+    ("http://cafe\u0301{id}.com/e\u0323\u0302\u0065\u0302\u0323", "http://caf\u00e9{id}.com/\u1ec7\u1ec7"),
+    ("http://\u1112\u1161\u11ab{id}.kr/\u3392", "http://\ud55c{id}.kr/MHz"),
+    ("http://\uf900{id}.com/\u00a0\u2126", "http://\u8c48{id}.com/ \u03a9"),
+    ("http://ex\u00e4mple{id}.com/", "http://ex\u00e4mple{id}.com/"),
+    ("http://\ufdfa{id}.com", "http://\u0635\u0644\u0649 \u0627\u0644\u0644\u0647 \u0639\u0644\u064a\u0647 \u0648\u0633\u0644\u0645{id}.com"),
+)
+
+
 def url_nfkc(spark: SparkSession, sf: str) -> DataFrame:
-    return _wide_ints(UT.normalised_urls(_urls(spark, sf)))
+    """URLs of the messages, and one of each message that normalisation changes, as a message without position."""
+    hard = F.get(F.array(*[F.lit(u) for u, _ in HARD_URLS]), (F.col("id") % len(HARD_URLS)).cast("int"))
+    made = views.messages(spark, sf, "id").select(
+        "id", F.lit(-1).alias("pos"), F.replace(hard, F.lit("{id}"), F.col("id").cast("string")).alias("url")
+    )
+    found = UT.normalised_urls(_urls(spark, sf).unionByName(made))
+    return _wide_ints(found).withColumn("changed", F.col("url") != F.col("url_nfkc"))
 
 
 def url_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -396,6 +415,11 @@ def oracle() -> dict[str, str]:
             "len(p)::DOUBLE AS n_return_domains, "
             + ", ".join(f"{x.strip()}::INT::DOUBLE AS {x.strip()}" for x in flags.split(","))
             + " FROM headers", m, HEADERS),
+        "q_url_nfkc": sql.select(
+            f"""SELECT id, pos, url, trim(url) AS url_nfkc, false AS changed FROM urls
+            UNION ALL SELECT id, -1, replace(u.url, '{{id}}', id::VARCHAR), replace(u.want, '{{id}}', id::VARCHAR), u.url <> u.want
+            FROM (SELECT id, kinds[id % len(kinds) + 1] AS u FROM messages, (SELECT [{", ".join(
+                "{'url': " + sql.q(u) + ", 'want': " + sql.q(w) + "}" for u, w in HARD_URLS)}] AS kinds))""", m, URLS),
         "q_link_table": sql.select(
             f"""SELECT id, pos, text, href, host, mismatch FROM links
             UNION ALL SELECT *, host <> '' AND NOT contains(text, host) FROM (

@@ -6,18 +6,20 @@ pages for `body` and what derives from it.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hooklens.functions.hashing import permille
 from hooklens.functions.text import blank
 from hooklens.functions.urls import first_url
+from hooklens.lists import AUTHENTICATED_HEADERS, UNAUTHENTICATED_HEADERS
 from hooklens.operators.synth import synthetic_headers, synthetic_html
 
-AUTH_JSON = (
-    '{"spf":"pass","dkim":"pass","dmarc":"pass",'
-    '"authentication-results":"spf=pass dkim=pass dmarc=pass"}'
+# the same objects without blanks
+AUTH_JSON, NONE_JSON = (
+    json.dumps(json.loads(t), separators=(",", ":")) for t in (AUTHENTICATED_HEADERS, UNAUTHENTICATED_HEADERS)
 )
-NONE_JSON = '{"authentication-results":"none"}'
 BAD_JSON = "{bad"
 ALL = ("id", "label", "subject", "body", "date", "source", "headers_raw", "html", "headers_json")
 EXPERIMENT_NAMES = ("E0", "E1", "E2", "E3", "E4", "E5")

@@ -38,16 +38,6 @@ def test_row_numbers_of_nothing(spark):
     assert ranking.with_row_number(df, [F.col("key")], "id").collect() == []
 
 
-def test_bucket_index_counts_cuts_not_above(spark):
-    cuts = [1.0, 2.0, 2.5, 9.0, 11.0]
-    values = [0.0, 1.0, 1.5, 2.0, 2.4, 2.5, 8.9, 9.0, 11.0, 12.0]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    for n in range(len(cuts) + 1):
-        used = cuts[:n]
-        found = df.select("v", ranking.bucket_index(F.col("v"), [F.lit(c) for c in used]).alias("b"))
-        assert {r["v"]: r["b"] for r in found.collect()} == {v: sum(c <= v for c in used) for v in values}
-
-
 def test_split_is_exact_per_class(spark):
     rows = [(i, "phishing" if i % 5 == 0 else "ham" if i % 5 < 4 else "other") for i in range(1003)]
     df = spark.createDataFrame(rows, "id long, label string")
@@ -304,3 +294,21 @@ def test_corpora(spark):
         C.require_labels(raw.withColumn("label", F.col("`Spam/Ham`")))
     with pytest.raises(ValueError, match="none of the columns"):
         C.phishing_corpus(raw.select("Date"), [F.col("Date")])
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 60])
+def test_counts_over_any_ranges(spark, buckets):
+    """Groups of many, few and equal scores, whatever the ranges they are cut into."""
+    draw = random.Random(buckets)
+    rows = [("many", draw.random(), draw.randint(0, 1)) for _ in range(400)]
+    rows += [("few", draw.choice([0.1, 0.5]), draw.randint(0, 1)) for _ in range(100)] + [("one", 0.3, 1)]
+    df = spark.createDataFrame(rows, "experiment string, score double, y_true int")
+    found = {(r["experiment"], r["threshold"]): (r["tp"], r["fp"], r["n_pos"], r["n_neg"])
+             for r in curves.cumulative_counts(df, ("experiment",), buckets).collect()}
+    expected = {}
+    for g in ("many", "few", "one"):
+        own = [(s, y) for e, s, y in rows if e == g]
+        for t in {s for s, _ in own}:
+            tp = sum(y for s, y in own if s >= t)
+            expected[g, t] = (tp, sum(1 for s, _ in own if s >= t) - tp, sum(y for _, y in own), sum(1 - y for _, y in own))
+    assert found == expected

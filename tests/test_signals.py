@@ -272,3 +272,17 @@ def test_named_references_against_the_standard_library(spark):
     got = {r["id"]: r["t"] for r in df.select("id", L._decode(F.col("html"), F.lit(L._NAMES)).alias("t")).collect()}
     wrong = [t for i, t in enumerate(texts) if got[i] != standard.unescape(t).replace(" ", " ")]
     assert not wrong
+
+
+def test_hosts_containing_entries_of_any_length(spark):
+    import random
+
+    from hooklens.operators.url_tables import match_hosts
+
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choices("ab.c", k=n))
+    hosts = sorted({word(rng.randint(0, 30)) for _ in range(150)} | {"", "a", "www.www.www.com", "x" * 500 + "www."})
+    entries = sorted({word(rng.randint(1, 9)) for _ in range(60)} | {"www.", "w.co", "x" * 400, "é"})
+    tables = [spark.createDataFrame([(v,) for v in values], f"{name} string") for values, name in ((hosts, "host"), (entries * 2, "entry"))]
+    found = sorted((r["host"], r["entry"]) for r in match_hosts(*tables, "contains").collect())
+    assert found == sorted((h, e) for h in hosts for e in entries if e in h)
