@@ -398,7 +398,6 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
 _ASKED = "bucket long, block long, words binary, places binary, docs binary, ids binary"
 _ASKED_NAMES = ["bucket", "block", "words", "places", "docs", "ids"]
 _ASKED_KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
-_NO_ID = np.iinfo(np.int64).min
 
 
 def _scorer(shared, buckets: int):
@@ -427,7 +426,8 @@ def _scorer(shared, buckets: int):
             for key, a, b in spans_of(bucket[order]):
                 which = order[a:b]
                 rows.append((key, block, b"\n".join([asked[i] for i in which]), pack(which.astype(np.uint32)), None, None))
-            doc = np.array([_NO_ID if i is None else i for i in part.ids], dtype=np.int64)
+            # ids, and which rows have one
+            doc = np.array([[0 if i is None else i for i in part.ids], [i is not None for i in part.ids]], dtype=np.int64)
             facts = np.concatenate([sizes, known, n_rare, score.view(np.int64), base.view(np.int64)])
             rows.append((None, block, None, pack(part.rare), facts.tobytes(), doc.tobytes()))
             yield _batch(rows, _ASKED_NAMES, _ASKED_KINDS)
@@ -451,11 +451,11 @@ def _answer(asked: pa.Table, words: pa.Table) -> pa.Table:
 
 def _finisher(tokens: int):
     def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
-        out: dict[str, list] = {c: [] for c in ("doc_id", "n_tokens", "n_known", "base_score", "score")}
+        out: dict[str, list] = {c: [] for c in ("doc_id", "there", "n_tokens", "n_known", "base_score", "score")}
         places = [unpack(x, "u4") for x in answers.column("places").to_pylist()]
         counts = [unpack(x, "i8") for x in answers.column("counts").to_pylist()]
         for docs, ids, at in zip(*[blocks.column(c).to_pylist() for c in ("docs", "ids", "places")]):
-            doc = np.frombuffer(ids, dtype=np.int64)
+            doc, there = np.frombuffer(ids, dtype=np.int64).reshape(2, -1)
             sizes, known, n_rare, score, base = np.frombuffer(docs, dtype=np.int64).reshape(5, len(doc))
             at = unpack(at, "u4")
             count = np.zeros(max([int(at.max()) + 1 if len(at) else 0, *[int(p.max()) + 1 for p in places if len(p)]]))
@@ -464,6 +464,7 @@ def _finisher(tokens: int):
             owner = np.repeat(np.arange(len(doc)), n_rare)
             more = np.bincount(owner, weights=np.log10(count[at] + 1.0), minlength=len(doc))
             out["doc_id"].append(doc)
+            out["there"].append(there)
             out["n_tokens"].append(sizes)
             out["n_known"].append(known + np.bincount(owner, weights=count[at] > 0, minlength=len(doc)).astype(np.int64))
             out["base_score"].append(base.view(np.float64) + more)
@@ -471,7 +472,7 @@ def _finisher(tokens: int):
         columns = {k: np.concatenate(v) if v else np.array([]) for k, v in out.items()}
         ids = columns["doc_id"].astype(np.int64)
         return pa.table({
-            "doc_id": pa.array(ids, pa.int64(), mask=ids == _NO_ID), "n_tokens": pa.array(columns["n_tokens"].astype(np.int64)),
+            "doc_id": pa.array(ids, pa.int64(), mask=columns["there"] == 0), "n_tokens": pa.array(columns["n_tokens"].astype(np.int64)),
             "n_known": pa.array(columns["n_known"].astype(np.int64)),
             "train_tokens": pa.array(np.full(len(ids), tokens, dtype=np.int64)),
             "base_score": pa.array(columns["base_score"].astype(np.float64)),

@@ -157,12 +157,17 @@ def _questions(ids: list[int], sets: list[np.ndarray], buckets: int, percent: in
     asked, asker = tokens[first], np.where(lone[first], owner[first], -1)
     rows: list[tuple] = []
     base = int(doc.min()) if len(doc) else 0
-    wide = len(doc) and int(doc.max()) - base >= (1 << 32) - 1
+    # distances from the least id, of 64 bits where ids lie far apart (modulo 2**64, so any two ids will do)
+    wide = len(doc) and int(doc.max()) - base >= 1 << 32
     bucket = (asked >> np.uint64(33)).astype(np.int64) * buckets >> 31  # ranges of the hash, so sorted
     for key, start, end in spans_of(bucket):
-        who = asker[start:end]
-        delta = np.where(who >= 0, doc[who] - base + 1, 0)
-        rows.append((key, pack(delta.astype(np.int64 if wide else np.uint32)), base, pack(asked[start:end]), None, None, None))
+        who, part = asker[start:end], asked[start:end]
+        alone = who >= 0
+        delta = (doc[who[alone]] - np.int64(base)).view(np.uint64)
+        rows.append((key, pack(delta if wide else delta.astype(np.uint32)), base, pack(part[alone]), None, None, None))
+        if not alone.all():
+            # tokens of several documents of the slice: they are counted, nobody is told
+            rows.append((key, b"", base, pack(part[~alone]), None, None, None))
     place = (mix64(doc.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
     by = np.argsort(place, kind="stable")
     needs = np.array([w for _, w in wanted], dtype=np.int64) - credit
@@ -185,7 +190,7 @@ def _tallier(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         rows = []
         columns = {c: table.column(c).to_pylist() for c in table.column_names}
-        tokens, ids = [], []
+        tokens, ids, told = [], [], []
         for i in range(table.num_rows):
             if columns["tokens"][i] is None:
                 rows.append((columns["key"][i] - buckets, columns["ids"][i], None, columns["needs"][i],
@@ -193,17 +198,17 @@ def _tallier(buckets: int):
                 continue
             part = unpack(columns["tokens"][i], "u8")
             width = len(columns["ids"][i]) // max(1, len(part))
-            delta = unpack(columns["ids"][i], f"u{width}").astype(np.int64)
+            delta = unpack(columns["ids"][i], f"u{width}") if width else np.zeros(len(part))
             tokens.append(part)
-            # 0 stands for several documents that need no answer
-            ids.append(np.where(delta > 0, delta - 1 + columns["base"][i], np.iinfo(np.int64).min))
+            ids.append(delta.astype(np.uint64).view(np.int64) + np.int64(columns["base"][i]))
+            told.append(np.full(len(part), width > 0))
         if tokens:
-            token, doc = np.concatenate(tokens), np.concatenate(ids)
+            token, doc, known = np.concatenate(tokens), np.concatenate(ids), np.concatenate(told)
             order = np.argsort(token, kind="stable")
-            token, doc = token[order], doc[order]
+            token, doc, known = token[order], doc[order], known[order]
             same = token[1:] == token[:-1]
             shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
-            doc = doc[shared & (doc != np.iinfo(np.int64).min)]
+            doc = doc[shared & known]
             found, counts = np.unique(doc, return_counts=True)
             place = (mix64(found.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(place, kind="stable")

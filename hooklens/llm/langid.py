@@ -5,9 +5,9 @@ against it into the fewest phrases: each phrase is the longest stretch, from whe
 ended, that occurs in the sample. The entropy estimate is `phrases * log2(sample size) / length`;
 the language with the lowest one wins, ties go to the first name.
 
-The sample is bounded: whole documents of a language, in the order of a hash of their id and
-text, until there are `SAMPLE_CHARS` symbols. This is the fit on a bounded sample of labelled rows;
-everything else covers the whole texts. Letters are lower-cased, each run of other characters is
+The sample is bounded: of the documents of a language, in the order of a hash of their id and text, the
+first `SAMPLE_DOCS`, of each its first `SAMPLE_SHARE` symbols, until there are `SAMPLE_CHARS` in all. This
+is the fit on a bounded sample of labelled rows; everything else covers the whole texts. Letters are lower-cased, each run of other characters is
 one space.
 
 The automaton walk is a table look-up per symbol, done for many rows of symbols at once: a text is

@@ -63,3 +63,10 @@ def test_nothing_to_learn(spark):
     rows = brown.score(documents(spark, HARD), brown.train(none)).collect()
     assert len(rows) == len(HARD) and all(r.n_known == 0 and r.train_tokens == 0 for r in rows)
     assert brown.score(none, brown.train(documents(spark, HARD))).count() == 0
+
+
+def test_id_extremes(spark):
+    rows = [(i, "some words of a text", "en", "a") for i in (-(2**63), 2**63 - 1, 0, None)]
+    docs = documents(spark, rows)
+    got = brown.score(docs, brown.train(docs)).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted((r[0] for r in rows), key=str)

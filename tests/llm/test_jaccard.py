@@ -86,3 +86,12 @@ def test_prefix_bounds():
         for other in range(need, n * 4 // 3 + 1):
             more = min(max(1, int(jaccard.EXTRA * n)), max(1, int(jaccard.EXTRA * other)))
             assert own <= more and q <= n
+
+
+def test_id_extremes(spark):
+    """The least and the greatest id, in one slice and as partners."""
+    least, most = -(2**63), 2**63 - 1
+    text = "some eight words that are all quite common"
+    rows = [(5, text, "en", "a"), (least, text.upper(), "en", "a"), (most, text, "en", "a"), (0, "alone here", "en", "a")]
+    assert found(spark, rows) == plain(rows)
+    assert {c for i, _, c in found(spark, rows) if i != 0} == {least}
