@@ -7,8 +7,8 @@ All stages but the last return the columns of `documents`.
 2. near_duplicates: of each component of near copies the document with the smallest id stays. Rows that
    share an id stay or go together; rows without an id stay.
 3. secrets: every secret found becomes `[SECRET]`; `n_chars` follows. No document goes.
-4. mixture: documents are sampled by their calibrated probabilities, none of which is cut: the rate is lowered
-   until the rarest wanted cell is kept whole, so the sample itself has the target shares.
+4. mixture: documents are sampled by their calibrated probabilities. A cell wanted more than whole is kept whole;
+   lowering the rate until none is would leave a third of the documents.
 5. tokens: byte-level BPE ids, and whether decoding them gives the text back.
 
 Null text counts as empty (and is rejected in the first stage, having no words). Columns other than those of
@@ -25,7 +25,7 @@ from hooklens.llm import bytebpe, jaccard, mixing, quality, secrets
 from hooklens.llm.common import table, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Share of all tokens to keep, at most, and how far each dimension is moved to equal shares (1: not at all, 0: fully).
+#: Share of all tokens to keep, and how far each dimension is moved to equal shares (1: not at all, 0: fully).
 RATE = 0.85
 POWERS = {"source": 0.8, "lang": 0.8, "topic": 0.9}
 
@@ -51,7 +51,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs.select(*COLUMNS), targets=POWERS, rate=RATE, cut=False).filter("sampled").select(*COLUMNS)
+    return mixing.mix(docs.select(*COLUMNS), targets=POWERS, rate=RATE).filter("sampled").select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
