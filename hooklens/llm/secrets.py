@@ -164,16 +164,15 @@ def findings(
     by_blob = hits.groupBy("blob").agg(F.sort_array(F.flatten(F.collect_set("spans"))).alias("spans"))
     rows = drop_columns(paths, "spans", "_blob").withColumn("_blob", blob_id(F.col(text)))
     hits_of = written(by_blob.withColumnRenamed("blob", "_blob"), "hits")
-    # a text of more than 1/HOT of all rows that holds a secret: fewer than HOT such texts, looked up by broadcast
-    copies = rows.select("_blob").join(hits_of, "_blob", "left_semi").groupBy("_blob").agg(F.count("*").alias("_c"))
+    # a text of more than 1/HOT of all rows: fewer than HOT such texts, whose rows stay where they are
+    copies = rows.groupBy("_blob").agg(F.count("*").alias("_c"))
     often = written(copies.filter(F.col("_c") * HOT > rows.count()).select("_blob"), "often")
     if often.isEmpty():
         joined = rows.join(hits_of, "_blob", "left")
     else:
         there = F.broadcast(often)
-        joined = rows.join(F.broadcast(hits_of.join(there, "_blob", "left_semi")), "_blob").unionByName(
-            rows.join(there, "_blob", "left_anti").join(hits_of, "_blob", "left")
-        )
+        hot = rows.join(there, "_blob", "left_semi").join(F.broadcast(hits_of.join(there, "_blob", "left_semi")), "_blob", "left")
+        joined = hot.unionByName(rows.join(there, "_blob", "left_anti").join(hits_of, "_blob", "left"))
     return joined.withColumn(
         "spans", F.coalesce("spans", F.array().cast(f"array<{SPAN}>"))
     ).drop("_blob")
