@@ -75,6 +75,11 @@ AUTHENTICATED_HEADERS = (
 )
 UNAUTHENTICATED_HEADERS = '{"authentication-results": "none"}'
 
+# --- fixed column names of raw mail tables, the first one present is taken -----------------
+SUBJECT_NAMES = ("subject", "Subject", "SUBJECT")
+BODY_NAMES = ("body", "Body", "text", "Text", "Message", "message", "email", "Email")
+DATE_NAMES = ("date", "Date", "DATE")
+
 # --- rules in evaluation order, and which of them accuse ---------------------------------
 RULES = (
     "has_at", "tld_suspect", "confusable", "shortened_url", "redirector_url", "ptbr_likely",

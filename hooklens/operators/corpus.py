@@ -7,12 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hooklens.functions.text import label_name
+from hooklens.lists import BODY_NAMES, DATE_NAMES, SUBJECT_NAMES
 from hooklens.operators.ranking import with_row_number
 from hooklens.schema import LABELS, MAIL_CSV_COLUMNS, column_or, first_column, require_columns
 
-SUBJECT_NAMES = ("subject", "Subject", "SUBJECT")
-BODY_NAMES = ("body", "Body", "text", "Text", "Message", "message", "email", "Email")
-DATE_NAMES = ("date", "Date", "DATE")
 CORPUS_COLUMNS = ("id", "label", "subject", "body", "date")
 MERGED_COLUMNS = (*CORPUS_COLUMNS, "source")
 
