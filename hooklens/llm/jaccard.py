@@ -190,8 +190,9 @@ def _tallier(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         rows = []
         columns = {c: table.column(c).to_pylist() for c in table.column_names}
+        del table
         tokens, ids, told = [], [], []
-        for i in range(table.num_rows):
+        for i in range(len(columns["key"])):
             if columns["tokens"][i] is None:
                 rows.append((columns["key"][i] - buckets, columns["ids"][i], None, columns["needs"][i],
                              columns["sizes"][i], columns["signatures"][i]))
@@ -203,12 +204,15 @@ def _tallier(buckets: int):
             ids.append(delta.astype(np.uint64).view(np.int64) + np.int64(columns["base"][i]))
             told.append(np.full(len(part), width > 0))
         if tokens:
-            token, doc, known = np.concatenate(tokens), np.concatenate(ids), np.concatenate(told)
+            token = np.concatenate(tokens)
             order = np.argsort(token, kind="stable")
-            token, doc, known = token[order], doc[order], known[order]
+            token = token[order]
             same = token[1:] == token[:-1]
-            shared = np.concatenate((same, [False])) | np.concatenate(([False], same))
-            doc = doc[shared & known]
+            # documents are looked up for the shared tokens alone
+            shared = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+            del tokens, token, order, same
+            doc, known = np.concatenate(ids)[shared], np.concatenate(told)[shared]
+            doc = doc[known]
             found, counts = np.unique(doc, return_counts=True)
             place = (mix64(found.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(place, kind="stable")
