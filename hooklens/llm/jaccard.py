@@ -6,22 +6,25 @@ tokens that both follow; so candidates must do so under every order tried:
 
 - A: rare tokens first (by the number of sets that hold them, then by hash);
 - B: ascending hash;
-- C: descending hash.
+- C: descending hash, so that B and C look at different ends of a set.
 
 Steps, each exact (no link is lost, nothing is capped):
 
 1. Under order B with longer prefixes: `n - ceil(t n) + l` tokens must share `l` with one partner, so
    at least as many must occur elsewhere at all. This leaves documents that may have a partner.
-2. Their equal sets fold into one node each.
+2. Their equal sets fold into one node each, told by a signature of 128 bits; nodes are numbered.
 3. Order A needs token counts, which are taken over the nodes; tokens of one node cannot join.
 4. Nodes that share a token of their A prefixes are candidates. To find the components without all
    pairs of a group, each bucket first compares its members with one leader, twice with different
    leaders; then nodes still in different components are compared with one another.
-5. A candidate is dropped by sizes, then by the prefixes under B and C, and only then verified.
+5. Candidates under A are intersected with those under B and C by the prefixes alone, of which 32 bits a
+   token are kept; a chance meeting of those bits drops nothing that links. Sets are fetched for the nodes
+   of the candidates left, and only these are verified.
 
 Tokens travel packed and pre-counted: a block of documents names a token once, so a token of a third of
-all documents is one entry per block. Token sets are met in chunks of about `CHUNK_TOKENS`, to which
-a node with many partners is sent once each.
+all documents is one entry per block. Buckets of tokens hold a fixed share of the input, so there are as
+many as it asks for. Prefixes and sets are met in chunks of about `CHUNK_TOKENS`, to which a node with many
+partners is sent once each.
 
 Null or empty text has the empty set and no links. Rows that repeat, also of one id with other texts,
 are documents of their own; rows without an id are not linked and have no component.
@@ -34,9 +37,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hooklens.llm.common import written
+from hooklens.llm.components import HOT, components, lookup
 from hooklens.llm.packing import mix64, pack, spans_of, unpack
 
 SHINGLE = 5
@@ -46,6 +50,9 @@ EXTRA = 0.15
 SLICE_BYTES = 4_000_000
 CHUNK_TOKENS = 250_000
 BITMAP_BITS = 1 << 26
+#: Bytes of text whose tokens a bucket holds on average, and those that a task reads.
+BUCKET_BYTES = 16_000_000
+TASK_BYTES = 64_000_000
 
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63],
@@ -116,6 +123,18 @@ def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list[int], list[bytes]]]:
             start, size = i + 1, 0
 
 
+def _shares(spark: SparkSession, size: int) -> tuple[int, int]:
+    """Buckets and tasks for so many bytes: never fewer than the session's shuffle partitions."""
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, math.ceil(size / BUCKET_BYTES)), max(least, math.ceil(size / TASK_BYTES))
+
+
+def _dealt(rows: DataFrame, tasks: int, key: str) -> DataFrame:
+    """Rows with a key together, in so many tasks where the session's own number is too low."""
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, key) if tasks > least else rows
+
+
 # --- step 1: documents that may have a partner ------------------------------------------------------
 
 _ASK = "key long, ids binary, base long, tokens binary, needs binary, sizes binary, signatures binary"
@@ -249,13 +268,14 @@ def _survey(table: pa.Table) -> pa.Table:
 
 def survey(docs: DataFrame, text: str = "text", percent: int = THRESHOLD) -> DataFrame:
     """`doc_id, n_shingles, signature, candidate` of the documents that have an id."""
-    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    buckets, tasks = _shares(docs.sparkSession, size)
     rows = docs.filter(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("bigint"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
-    asked = rows.mapInArrow(_asker(buckets, percent), _ASK)
+    asked = _dealt(rows.mapInArrow(_asker(buckets, percent), _ASK), tasks, "key")
     tallied = asked.groupBy("key").applyInArrow(_tallier(buckets), _TALLY)
-    return tallied.groupBy("key").applyInArrow(
+    return _dealt(tallied, tasks, "key").groupBy("key").applyInArrow(
         _survey, "doc_id long, n_shingles long, signature binary, candidate boolean"
     )
 
@@ -263,8 +283,8 @@ def survey(docs: DataFrame, text: str = "text", percent: int = THRESHOLD) -> Dat
 # --- step 2: one node for each set -------------------------------------------------------------------
 
 
-def _only(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
-    """A filter that lets pass every row whose id is in `ids`, and few others.
+def _only(rows: DataFrame, ids: DataFrame, name: str, own: str | None = None) -> DataFrame:
+    """A filter that lets pass every row whose id, `own` or of the same name, is in `ids`, and few others.
 
     The ids are marked in a bitmap of fixed size (at most 8 MB), which is what is broadcast.
     """
@@ -272,7 +292,7 @@ def _only(rows: DataFrame, ids: DataFrame, name: str) -> DataFrame:
     marks = ids.select(slot(F.col(name)).alias("s")).groupBy(
         F.bitmap_bucket_number("s").alias("_b")
     ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("_bits"))
-    placed = rows.withColumn("_s", slot(F.col(name))).withColumn("_b", F.bitmap_bucket_number("_s"))
+    placed = rows.withColumn("_s", slot(F.col(own or name))).withColumn("_b", F.bitmap_bucket_number("_s"))
     bit = F.bitmap_bit_position("_s")
     byte = F.conv(F.hex(F.expr("substring(_bits, cast(bitmap_bit_position(_s) div 8 as int) + 1, 1)")), 16, 10)
     there = F.getbit(byte.cast("int"), (bit % 8).cast("int")) == 1
@@ -310,10 +330,6 @@ def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def node_id(signature_column: str = "signature") -> Column:
-    return F.xxhash64(signature_column)
-
-
 def node_sets(docs: DataFrame, classes: DataFrame, text: str = "text") -> DataFrame:
     """`node, n, tokens` (ascending as unsigned) for each class `node, signature, first_id`.
 
@@ -392,17 +408,18 @@ def _prefixer(percent: int):
     return run
 
 
-def prefixes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
+def prefixes(sets: DataFrame, total: int, percent: int = THRESHOLD) -> DataFrame:
     """`token, node, n, m`: the tokens of each node's A prefix that other nodes hold, too.
 
-    `m` is how many of the node's n tokens other nodes hold.
+    `m` is how many of the node's n tokens other nodes hold; `total` is the number of tokens of all nodes.
     """
-    buckets = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets, tasks = _shares(sets.sparkSession, 8 * total)
     blocked = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(buckets)))
+    blocked = _dealt(blocked, tasks, "block")
     asked = blocked.groupBy("block").applyInArrow(
         _counter(buckets), "bucket long, block long, tokens binary, counts binary"
     )
-    told = asked.groupBy("bucket").applyInArrow(_adder, "block long, tokens binary, counts binary")
+    told = _dealt(asked, tasks, "bucket").groupBy("bucket").applyInArrow(_adder, "block long, tokens binary, counts binary")
     return blocked.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _prefixer(percent), "token long, node long, n long, m long"
     )
@@ -513,6 +530,78 @@ def _with_chunk(chunks: int):
     return run
 
 
+def _orders(percent: int):
+    """Prefixes under the orders B and C, the upper 32 bits of each token, ascending."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends, flat = _ragged(batch.column("tokens"))
+            least, greatest = [], []
+            for start, end in zip(ends[:-1], ends[1:]):
+                tokens = (flat[start:end] >> np.uint64(32)).astype(np.uint32)
+                width = prefix_size(len(tokens), percent)
+                least.append(tokens[:width].tobytes())
+                greatest.append(tokens[len(tokens) - width :].tobytes())
+            columns = [batch.column("node"), batch.column("n"), pa.array(least, pa.binary()), pa.array(greatest, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "least", "greatest"])
+
+    return run
+
+
+def _ragged(lists: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets into the tokens of a column of sets, and the tokens."""
+    ends = lists.offsets.to_numpy().astype(np.int64)
+    return ends, lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _meet(mine: np.ndarray, flat: np.ndarray, starts: np.ndarray, widths: np.ndarray) -> np.ndarray:
+    """How many tokens of mine, ascending, each of the stretches of `flat` holds."""
+    first = np.cumsum(widths) - widths
+    index = np.repeat(starts - first, widths) + np.arange(int(widths.sum()))
+    tokens = flat[index]
+    place = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
+    return np.add.reduceat((mine[place] == tokens).astype(np.int64), first)
+
+
+def _intersecter(percent: int):
+    """Of the members that a node asks about under A, those that it meets under B and C, too."""
+
+    def run(questions: pa.Table, orders: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        nodes = orders.column("node").to_numpy()
+        order = np.argsort(nodes)
+        sizes = orders.column("n").to_numpy().astype(np.int64)
+        width = prefix_size(sizes, percent)
+        starts = np.cumsum(width) - width
+        flats = {c: np.frombuffer(b"".join(orders.column(c).to_pylist()), dtype=np.uint32) for c in ("least", "greatest")}
+        asked = [questions.column(c) for c in ("x", "n", "least", "greatest", "ys")]
+        for x, n, least, greatest, ys in zip(*asked):
+            n, ys = n.as_py(), ys.values.to_numpy(zero_copy_only=False)
+            at = order[np.searchsorted(nodes, ys, sorter=order)]
+            fit = np.minimum(sizes[at], n) * (100 + percent) >= (sizes[at] + n) * percent
+            for side, prefix in (("least", least), ("greatest", greatest)):
+                at, ys = at[fit], ys[fit]
+                if not len(at):
+                    break
+                fit = _meet(np.frombuffer(prefix.as_py(), dtype=np.uint32), flats[side], starts[at], width[at]) > 0
+            if len(at) and fit.any():
+                out.append((x.as_py(), ys[fit]))
+        return pa.table(
+            [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.list_(pa.int64()))], ["x", "ys"]
+        )
+
+    return run
+
+
+def intersected(lists: DataFrame, orders: DataFrame, chunks: int, percent: int = THRESHOLD) -> DataFrame:
+    """Candidates `x, chunk, ys` that share prefix tokens under all orders: `x, ys`, a row for each x and chunk."""
+    asked = lists.join(orders.withColumnRenamed("node", "x"), "x")
+    placed = orders.mapInArrow(_with_chunk(chunks), "node long, n long, least binary, greatest binary, chunk long")
+    return asked.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(
+        _intersecter(percent), "x long, ys array<long>"
+    )
+
+
 def _verifier(percent: int):
     def run(questions: pa.Table, sets: pa.Table) -> pa.Table:
         out_x: list[int] = []
@@ -522,88 +611,45 @@ def _verifier(percent: int):
         lists = sets.column("tokens").combine_chunks()
         if not isinstance(lists, pa.ListArray) or not len(lists):
             return pa.table([pa.array([], pa.int64())] * 2, ["x", "y"])
-        ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).view(np.uint64)
+        ends, flat = _ragged(lists)
         for row in range(questions.num_rows):
-            x = questions.column("x")[row].as_py()
             mine = questions.column("tokens")[row].values.to_numpy(zero_copy_only=False).view(np.uint64)
             ys = questions.column("ys")[row].values.to_numpy(zero_copy_only=False)
             at = order[np.searchsorted(nodes, ys, sorter=order)]
-            sizes = (ends[at + 1] - ends[at]).astype(np.int64)
-            for prefix in ("ascending", "descending"):
-                if not len(at):
-                    break
-                shares = _meet(mine, flat, ends, at, sizes, prefix, percent) > 0
-                at, ys, sizes = at[shares], ys[shares], sizes[shares]
-            if len(at):
-                shared = _meet(mine, flat, ends, at, sizes, "whole", percent)
-                links = shared * (100 + percent) >= (len(mine) + sizes) * percent
-                out_x += [x] * int(links.sum())
-                out_y += ys[links].tolist()
+            sizes = ends[at + 1] - ends[at]
+            shared = _meet(mine, flat, ends[at], sizes)
+            links = shared * (100 + percent) >= (len(mine) + sizes) * percent
+            out_x += [questions.column("x")[row].as_py()] * int(links.sum())
+            out_y += ys[links].tolist()
         return pa.table([pa.array(out_x, pa.int64()), pa.array(out_y, pa.int64())], ["x", "y"])
 
     return run
 
 
-def _meet(mine, flat, ends, at, sizes, part: str, percent: int) -> np.ndarray:
-    """How many tokens of mine each of the sets holds, of the whole sets or of their prefixes."""
-    if part == "whole":
-        starts, width = ends[at].astype(np.int64), sizes
-    else:
-        width = prefix_size(sizes, percent)
-        own = prefix_size(len(mine), percent)
-        starts = ends[at].astype(np.int64)
-        if part == "ascending":
-            mine = mine[:own]
-        else:
-            mine = mine[len(mine) - own :]
-            starts = starts + sizes - width
-    # the positions of all sets one after another
-    first = np.cumsum(width) - width
-    index = np.repeat(starts - first, width) + np.arange(int(width.sum()))
-    tokens = flat[index]
-    place = np.minimum(np.searchsorted(mine, tokens), len(mine) - 1)
-    hit = mine[place] == tokens
-    return np.add.reduceat(hit.astype(np.int64), first)
-
-
-def verify(lists: DataFrame, sets: DataFrame, chunks: int, percent: int = THRESHOLD) -> DataFrame:
-    """The links `x, y` among candidates `x, chunk, ys`, checked chunk by chunk of the sets."""
-    asked = lists.join(sets.select(F.col("node").alias("x"), "tokens"), "x")
-    placed = sets.select("node", "tokens").mapInArrow(_with_chunk(chunks), "node long, tokens array<long>, chunk long")
-    return asked.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(_verifier(percent), "x long, y long")
+def verify(lists: DataFrame, sets: DataFrame, orders: DataFrame, chunks: int, percent: int = THRESHOLD) -> DataFrame:
+    """The links `x, y`, written, among candidates `x, chunk, ys` under A.
 
-
-def components(links: DataFrame, x: str = "x", y: str = "y") -> DataFrame:
-    """`node, label` of all nodes with links: the smallest node reachable.
-
-    Labels spread over the links and jump along themselves, so long chains halve each round. A round's
-    table is written; the driver sees how many labels changed.
+    They are intersected with the other orders first; sets of nodes that are in no candidate then stay where
+    they are. What is left is checked chunk by chunk of the sets.
     """
-    both = links.select(F.col(x).alias("a"), F.col(y).alias("b"))
-    edges = written(both.unionAll(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")), "labels")
-    while True:
-        near = edges.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(
-            F.min("label").alias("near")
-        )
-        best = labels.join(near, "node").select("node", F.least("label", "near").alias("next"), "label")
-        jump = labels.select(F.col("node").alias("next"), F.col("label").alias("further"))
-        moved = written(
-            best.join(jump, "next", "left").select(
-                "node", F.least("next", "further").alias("label"),
-                (F.least("next", "further") != F.col("label")).alias("moved"),
-            ), "labels",
-        )
-        labels = moved.select("node", "label")
-        if moved.filter("moved").isEmpty():
-            return labels
+    left = written(intersected(lists, orders, chunks, percent), "intersected")
+    named = left.select("x").unionAll(left.select(F.explode("ys").alias("x"))).distinct()
+    needed = _only(sets.select("node", "tokens"), named, "x", "node")
+    dealt = left.mapInArrow(_dealer(chunks), "x long, chunk long, ys array<long>")
+    asked = dealt.join(needed.select(F.col("node").alias("x"), "tokens"), "x")
+    placed = needed.mapInArrow(_with_chunk(chunks), "node long, tokens array<long>, chunk long")
+    links = asked.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(_verifier(percent), "x long, y long")
+    return written(links, "found")
 
 
 def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     """`node, label` of the nodes that have links."""
     total = sets.agg(F.sum("n")).first()[0] or 0
     chunks = max(1, math.ceil(total / CHUNK_TOKENS))
-    rows = written(prefixes(sets, percent), "prefixes")
+    orders = written(
+        sets.mapInArrow(_orders(percent), "node long, n long, least binary, greatest binary"), "orders"
+    )
+    rows = written(prefixes(sets, total, percent), "prefixes")
     # a bucket of one node has no pair
     crowded = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
     rows = written(rows.join(crowded, "token", "left_semi"), "buckets")
@@ -615,7 +661,7 @@ def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
         pairs = leader_pairs(labelled, seed, percent).select("y", "x")
         pairs = pairs.mapInArrow(_with_chunk(chunks), "y long, x long, chunk long")
         lists = pairs.groupBy("x", "chunk").agg(F.collect_list("y").alias("ys"))
-        found = written(verify(lists, sets, chunks, percent), "found")
+        found = verify(lists, sets, orders, chunks, percent)
         links = found if links is None else links.unionAll(found)
         labels = components(links)
         labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -623,8 +669,7 @@ def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     sized = labelled.join(size, "label", "left").withColumn("size", F.coalesce("size", F.lit(1)).cast("bigint"))
     lists = cross_lists(sized, percent).groupBy("x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
     dealt = lists.mapInArrow(_dealer(chunks), "x long, chunk long, ys array<long>")
-    found = written(verify(dealt, sets, chunks, percent), "found")
-    return components(links.unionAll(found))
+    return components(links.unionAll(verify(dealt, sets, orders, chunks, percent)))
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = THRESHOLD) -> DataFrame:
@@ -633,16 +678,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = THRESHOL
     `class_id` is the smallest id with an equal set, `component_id` the smallest id reachable over links.
     Runs its jobs when called and leaves intermediate tables in the shared folder.
     """
-    seen = written(survey(docs, text, percent).withColumn("node", node_id()), "survey")
+    seen = written(survey(docs, text, percent), "survey")
+    # numbers are given once, as the table is written
     classes = written(
-        seen.filter("candidate").groupBy("node", "signature").agg(F.min("doc_id").alias("first_id")), "classes"
+        seen.filter("candidate").groupBy("signature").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("rows"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes"
     )
     sets = written(node_sets(docs, classes, text), "sets")
     labels = link_nodes(sets, percent)
     rooted = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     roots = rooted.groupBy("label").agg(F.min("first_id").alias("root"))
-    named = rooted.join(roots, "label").select("node", F.col("first_id").alias("class_id"), F.col("root").alias("component_id"))
-    with_partner = seen.filter("candidate").join(named, "node").select("doc_id", "n_shingles", "class_id", "component_id")
+    named = written(rooted.join(roots, "label").select(
+        "signature", "rows", F.col("first_id").alias("class_id"), F.col("root").alias("component_id")
+    ), "named")
+    asking = seen.filter("candidate").select("doc_id", "n_shingles", "signature")
+    # a set of very many equal texts is looked up by broadcast
+    often = F.col("rows") * HOT > asking.count()
+    with_partner = lookup(asking, named, ["signature"], often).select("doc_id", "n_shingles", "class_id", "component_id")
     alone = seen.filter("not candidate").select(
         "doc_id", "n_shingles", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id")
     )
