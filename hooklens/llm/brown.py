@@ -4,19 +4,23 @@ Words are put into classes by exchange clustering; a class bigram model gives ea
 `transition(class | class before) * emission(word | class)`, interpolated with the add-one unigram
 model, so every text has a proper probability.
 
-What is counted covers the whole training corpus: word counts, bigrams, class counts. Words that make
-up at least `1/MAX_CLUSTERED` of all tokens are clustered one by one - by that definition they are no
-more than `MAX_CLUSTERED`, so their classes and the class matrix may be broadcast at any size of the
-corpus. All rarer words, seen or not, share one class, whose emission is their own add-one estimate over
-the full vocabulary; that vocabulary is never in one place.
-
-Exchange in passes: with the class counts of the last pass frozen, a word moves to the class that makes
-the corpus most likely, its own counts taken along. In the first pass the words outside the most
-frequent ones are inserted; later only half of the words (by turns) may move in a pass, so that words
-do not swap places forever.
-
-Counts travel packed: a slice of documents names each word, or pair, once. For scoring, a slice asks for
-the counts of its rare words, gets them back and finishes its documents. Texts are not shuffled.
+Every word seen twice or more in the training text has a class. Words seen once, and unseen ones, share
+one, whose emission is add-one over those seen once and one unseen word.
+
+1. The head: words of at least `1/MAX_HEAD` of all tokens. By that definition they are no more than
+   `MAX_HEAD`, so their classes and the class matrix may be broadcast at any size of the corpus. Exchange in
+   passes: with the class counts of the last pass frozen, a word moves to the class that makes the corpus
+   most likely, its own counts taken along. In the first pass the words outside the most frequent ones are
+   inserted; later only half of the words (by turns) may move in a pass, so that words do not swap places
+   forever. It ends when fewer than 1 in 200 words move, or after `PASSES`; `Trained.moved` has the last share.
+2. The rest: all other words seen twice or more, however many. They stay in the vocabulary table, in hash
+   buckets, and move by the same rule: slices of text tell a word's bucket the classes around it, where it
+   takes its best class. They move in `REST_PASSES` passes; from the second on, their classes count as neighbours.
+3. With all classes known, class bigrams are counted again over all training text.
+
+Counts travel packed: a slice of documents names each word, or pair, once. A slice asks the buckets for the
+counts and classes of its rest words; texts are not shuffled, but their word numbers are. There are as many
+buckets as the bytes of the text ask for.
 
 Tokens are runs of non-white-space bytes with A-Z lower-cased, and one end token per text. Null text is
 empty: just the end token. Rows that repeat count, and are scored, each time.
@@ -24,6 +28,7 @@ empty: just the end token. Rows that repeat count, and are scored, each time.
 
 from __future__ import annotations
 
+import math
 import uuid
 from array import array
 from collections import Counter
@@ -37,15 +42,18 @@ from pyspark.sql import DataFrame, functions as F
 from hooklens.llm.common import written
 from hooklens.llm.packing import pack, spans_of, unpack
 
-MAX_CLUSTERED = 200_000
+MAX_HEAD = 200_000
 CLASSES = 64
 PASSES = 8
+REST_PASSES = 1
 #: Weight of the class model against the unigram model, and of a class's unigram share in transitions.
 CLASS_WEIGHT = 0.95
 PRIOR = 20.0
 #: Words of text, and distinct words, that a worker holds at once.
 SLICE_TOKENS = 1_000_000
 SLICE_WORDS = 300_000
+#: Bytes of training text whose words a bucket holds on average.
+BUCKET_BYTES = 16_000_000
 
 END, RARE, FIRST = 0, 1, 2
 
@@ -71,7 +79,7 @@ class Slice:
     asked: list[bytes]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], number: dict[bytes, int], ask: bool) -> Iterator[Slice]:
+def _slices(batches: Iterator[pa.RecordBatch], number: dict[bytes, int]) -> Iterator[Slice]:
     """About SLICE_TOKENS words at a time. Words are turned into numbers document by document, so that only
     the rare ones of a slice, once each, stay in memory."""
     get = number.get
@@ -88,8 +96,7 @@ def _slices(batches: Iterator[pa.RecordBatch], number: dict[bytes, int], ask: bo
         for doc_id, text in zip(batch.column(0), batch.column(1)):
             words = _words(text.as_py())
             found = [get(w, RARE) for w in words]
-            if ask:
-                rare.extend([place.setdefault(w, len(place)) for w, n in zip(words, found) if n == RARE])
+            rare.extend([place.setdefault(w, len(place)) for w, n in zip(words, found) if n == RARE])
             found.append(END)
             ids.append(doc_id.as_py())
             parts.append(np.array(found, dtype=np.int32))
@@ -162,10 +169,15 @@ def _word_adder(table: pa.Table) -> pa.Table:
     })
 
 
-def vocabulary(train: DataFrame, text: str = "text") -> DataFrame:
+def bucket_count(docs: DataFrame, text: str = "text") -> int:
+    """Buckets for these texts, never fewer than the session's shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / BUCKET_BYTES))
+
+
+def vocabulary(train: DataFrame, buckets: int, text: str = "text") -> DataFrame:
     """Word counts in hash buckets, written: a row has the words of a bucket, joined by line ends, and
     their counts, with the sums of both and, in bucket 0, the number of texts."""
-    buckets = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = _texts(train, text).mapInArrow(
         _word_counter(buckets), "bucket long, words binary, counts binary, texts long"
     )
@@ -188,6 +200,90 @@ def _frequent(least: float):
     return run
 
 
+# --- texts as word numbers --------------------------------------------------------------------------
+
+_BLOCK = "block long, words binary, numbers binary, rare binary, sizes binary, ids binary"
+
+
+def _blocker(shared):
+    """Slices of documents as rows: the words without a number, joined by line ends, and for each document
+    its word numbers, an end after each; `rare` has the places, among the words, of those without."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _slices(batches, shared.value):
+            # ids, and which rows have one
+            ids = np.array([[0 if i is None else i for i in part.ids], [i is not None for i in part.ids]], dtype=np.int64)
+            row = (uuid.uuid4().int >> 65, b"\n".join(part.asked), pack(part.numbers.astype(np.int32)), pack(part.rare),
+                   pack(part.sizes), ids.tobytes())
+            yield _batch([row], ["block", "words", "numbers", "rare", "sizes", "ids"], [pa.int64(), *[pa.binary()] * 5])
+
+    return run
+
+
+def blocks_of(docs: DataFrame, number: dict[bytes, int], text: str = "text") -> DataFrame:
+    """The documents as blocks of word numbers, written."""
+    shared = docs.sparkSession.sparkContext.broadcast(number)
+    return written(_texts(docs, text).mapInArrow(_blocker(shared), _BLOCK), "blocks")
+
+
+def _questioner(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, joined in zip(batch.column(0), batch.column(1)):
+                words = _split(joined.as_py())
+                bucket = _bucket_of(words, buckets)
+                order = np.argsort(bucket, kind="stable")
+                rows = []
+                for key, a, b in spans_of(bucket[order]):
+                    which = order[a:b]
+                    rows.append((key, block.as_py(), b"\n".join([words[i] for i in which]), pack(which.astype(np.uint32))))
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+                yield _batch(rows, ["bucket", "block", "words", "places"], kinds)
+
+    return run
+
+
+def _split(joined: bytes) -> list[bytes]:
+    return joined.split(b"\n") if joined else []
+
+
+def _answer(asked: pa.Table, words: pa.Table) -> pa.Table:
+    place: dict[bytes, int] = {}
+    counts, classes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+    for joined, count, own in zip(*[words.column(c).to_pylist() for c in ("words", "counts", "classes")]):
+        for word in _split(joined):
+            place[word] = len(place)
+        counts.append(unpack(count, "i8"))
+        classes.append(unpack(own, "u2"))
+    count, own = np.concatenate(counts), np.concatenate(classes)
+    rows = []
+    for block, joined, places in zip(*[asked.column(c).to_pylist() for c in ("block", "words", "places")]):
+        at = np.array([place.get(w, -1) for w in _split(joined)], dtype=np.int64)
+        there = at >= 0
+        rows.append((block, pack(unpack(places, "u4")[there]), pack(count[at[there]]), pack(own[at[there]])))
+    kinds = [pa.int64(), *[pa.binary()] * 3]
+    columns = zip(*rows) if rows else [[]] * 4
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["block", "places", "counts", "classes"])
+
+
+def answers(blocks: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """`block, places, counts, classes`: what the vocabulary has of each block's words without a number."""
+    asked = blocks.select("block", "words").mapInArrow(
+        _questioner(buckets), "bucket long, block long, words binary, places binary"
+    )
+    return asked.groupBy("bucket").cogroup(words.select("bucket", "words", "counts", "classes").groupBy("bucket")).applyInArrow(
+        _answer, "block long, places binary, counts binary, classes binary"
+    )
+
+
+def _told(places: list[bytes], values: list[bytes], kind: str, size: int, other: int) -> np.ndarray:
+    """Answers by place; `other` where there is none."""
+    out = np.full(size, other, dtype=np.int64)
+    for p, v in zip(places, values):
+        out[unpack(p, "u4")] = unpack(v, kind)
+    return out
+
+
 # --- bigrams ---------------------------------------------------------------------------------------
 
 
@@ -196,26 +292,25 @@ _PAIR_NAMES = ["bucket", "following", "following_n", "preceding", "preceding_n"]
 _PAIR_KINDS = [pa.int64(), *[pa.binary()] * 4]
 
 
-def _pair_counter(shared, buckets: int):
-    """Bigrams of slices, told to the bucket of either word: keys are `word * size + other word`."""
+def _pair_counter(size: int, buckets: int):
+    """Bigrams of blocks, told to the bucket of either word: keys are `word * size + other word`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = shared.value
-        size = len(number) + FIRST
-        for part in _slices(batches, number, ask=False):
-            found = part.numbers.astype(np.int64)
-            before = np.concatenate(([END], found[:-1]))
-            keys, counts = np.unique(before * size + found, return_counts=True)
-            left, right = keys // size, keys % size
-            rows: dict[int, list] = {}
-            for side, (word, other) in enumerate(((left, right), (right, left))):
-                turned = word * size + other
-                order = np.lexsort((turned, word % buckets))
-                for key, start, end in spans_of((word % buckets)[order]):
-                    which = order[start:end]
-                    row = rows.setdefault(key, [key, b"", b"", b"", b""])
-                    row[1 + 2 * side : 3 + 2 * side] = pack(turned[which]), pack(counts[which].astype(np.int64))
-            yield _batch([tuple(r) for r in rows.values()], _PAIR_NAMES, _PAIR_KINDS)
+        for batch in batches:
+            for numbers in batch.column(0):
+                found = unpack(numbers.as_py(), "i4").astype(np.int64)
+                before = np.concatenate(([END], found[:-1]))
+                keys, counts = np.unique(before * size + found, return_counts=True)
+                left, right = keys // size, keys % size
+                rows: dict[int, list] = {}
+                for side, (word, other) in enumerate(((left, right), (right, left))):
+                    turned = word * size + other
+                    order = np.lexsort((turned, word % buckets))
+                    for key, start, end in spans_of((word % buckets)[order]):
+                        which = order[start:end]
+                        row = rows.setdefault(key, [key, b"", b"", b"", b""])
+                        row[1 + 2 * side : 3 + 2 * side] = pack(turned[which]), pack(counts[which].astype(np.int64))
+                yield _batch([tuple(r) for r in rows.values()], _PAIR_NAMES, _PAIR_KINDS)
 
     return run
 
@@ -314,16 +409,19 @@ def _best_class(own: np.ndarray, after: np.ndarray, before: np.ndarray, matrix:
     return clusters[np.argmax(rate, axis=1)]
 
 
-def exchange(pairs: DataFrame, words: int, classes: int = CLASSES, passes: int = PASSES) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each word number, and the class matrix, after some passes of exchange.
+def exchange(
+    pairs: DataFrame, words: int, classes: int = CLASSES, passes: int = PASSES
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Class of each word number, the class matrix, and the share of words that moved in the last pass.
 
-    The driver holds one number per clustered word, of which there are at most `MAX_CLUSTERED`.
+    The driver holds one number per word of the head, of which there are at most `MAX_HEAD`.
     """
     width = FIRST + max(1, min(classes, words))
     own = np.full(FIRST + words, RARE, dtype=np.int64)
     own[END] = END
     own[FIRST:width] = np.arange(FIRST, min(width, FIRST + words))
     context = pairs.sparkSession.sparkContext
+    share = 0.0
     for turn in range(passes):
         shared = context.broadcast((own, class_matrix(pairs, own, width)))
         moves = pairs.mapInArrow(_mover(shared, turn), "word long, class long").collect()
@@ -331,9 +429,167 @@ def exchange(pairs: DataFrame, words: int, classes: int = CLASSES, passes: int =
         own = own.copy()
         for row in moves:
             own[row["word"]] = row["class"]
-        if turn > 2 and len(moves) * 200 < words:
+        share = len(moves) / max(1, words)
+        if turn > 2 and share < 1 / 200:
             break
-    return own, class_matrix(pairs, own, width)
+    return own, class_matrix(pairs, own, width), share
+
+
+# --- the rest ----------------------------------------------------------------------------------------
+
+
+def _class_sequence(own: np.ndarray, numbers: bytes, rare: bytes, told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of a block, the classes of its tokens, and each unnumbered token's place among its words."""
+    found, at = unpack(numbers, "i4"), unpack(rare, "u4")
+    sequence = own[found]
+    sequence[found == RARE] = told[at]
+    return found, sequence, at
+
+
+def _block_rows(blocks: pa.Table, told: pa.Table, own: np.ndarray):
+    """Each block with the classes of its tokens; what is not told is in the class of rare words."""
+    for i in range(blocks.num_rows):
+        words = _split(blocks.column("words")[i].as_py())
+        classes = _told(told.column("places").to_pylist(), told.column("classes").to_pylist(), "u2", len(words), RARE)
+        yield words, *_class_sequence(
+            own, blocks.column("numbers")[i].as_py(), blocks.column("rare")[i].as_py(), classes
+        )
+
+
+_AROUND = ["bucket", "words", "cells", "counts"]
+
+
+def _around(shared, buckets: int):
+    """For each word of a block without a number, the classes before and after it, told to its bucket: cells
+    are `place in words * 2 * width + class after`, and `+ width` for the class before."""
+
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        own, width = shared.value
+        rows = []
+        for words, found, sequence, at in _block_rows(blocks, told, own):
+            where = np.flatnonzero(found == RARE)
+            bucket = _bucket_of(words, buckets)
+            # places among the words of their bucket
+            order = np.argsort(bucket, kind="stable")
+            spans = spans_of(bucket[order])
+            inside = np.zeros(len(words), dtype=np.int64)
+            for _, a, b in spans:
+                inside[order[a:b]] = np.arange(b - a)
+            after = sequence[where + 1]  # a text ends with its end, so a word has one after it
+            before = np.where(where > 0, sequence[where - 1], END)
+            base = inside[at] * 2 * width
+            cell = np.concatenate([base + after, base + width + before])
+            goes = np.concatenate([bucket[at], bucket[at]])
+            by = np.argsort(goes, kind="stable")
+            start = {key: (a, b) for key, a, b in spans}
+            for key, a, b in spans_of(goes[by]):
+                cells, counts = np.unique(cell[by[a:b]], return_counts=True)
+                c, d = start[key]
+                rows.append((key, b"\n".join([words[i] for i in order[c:d]]), pack(cells.astype(np.int64)), pack(counts.astype(np.uint32))))
+        kinds = [pa.int64(), *[pa.binary()] * 3]
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)], _AROUND)
+
+    return run
+
+
+_CLASSED = "bucket long, words binary, counts binary, tokens long, distinct long, texts long, classes binary"
+
+
+def _placer(shared, least: float):
+    """The vocabulary's buckets with the best class of every word of the rest."""
+
+    def run(words: pa.Table, around: pa.Table) -> pa.Table:
+        matrix = shared.value
+        width = len(matrix)
+        if not words.num_rows:
+            return words.append_column("classes", pa.array([], pa.binary()))
+        names = _split(words.column("words")[0].as_py())
+        count = unpack(words.column("counts")[0].as_py(), "i8")
+        own = np.full(len(names), RARE, dtype=np.int64)
+        if "classes" in words.column_names:
+            own = unpack(words.column("classes")[0].as_py(), "u2").astype(np.int64)
+        place = {w: i for i, w in enumerate(names)}
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for joined, cells, counts in zip(*[around.column(c).to_pylist() for c in _AROUND[1:]]):
+            at = np.array([place[w] for w in _split(joined)], dtype=np.int64)
+            cell = unpack(cells, "i8")
+            keys.append(at[cell // (2 * width)] * 2 * width + cell % (2 * width))
+            values.append(unpack(counts, "u4").astype(np.int64))
+        key, index = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(index, weights=np.concatenate(values), minlength=len(key))
+        chosen = np.flatnonzero((count >= 2) & (count < least))
+        for start in range(0, len(chosen), 128):
+            part = chosen[start : start + 128]
+            dense = np.zeros((len(part), 2 * width))
+            a, b = np.searchsorted(key, [part[0] * 2 * width, (part[-1] + 1) * 2 * width])
+            row = np.searchsorted(part, key[a:b] // (2 * width))
+            wanted = part[np.minimum(row, len(part) - 1)] == key[a:b] // (2 * width)
+            dense[row[wanted], key[a:b][wanted] % (2 * width)] = total[a:b][wanted]
+            own[part] = _best_class(own[part], dense[:, :width], dense[:, width:], matrix)
+        table = words.drop_columns(["classes"]) if "classes" in words.column_names else words
+        return table.append_column("classes", pa.array([pack(own.astype(np.uint16))], pa.binary()))
+
+    return run
+
+
+def _matrix_counter(shared):
+    """Class bigrams of blocks under the classes of all words."""
+
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        own, width = shared.value
+        total = np.zeros(width * width, dtype=np.int64)
+        for _, _, sequence, _ in _block_rows(blocks, told, own):
+            before = np.concatenate(([END], sequence[:-1]))
+            total += np.bincount(before * width + sequence, minlength=width * width)
+        there = np.flatnonzero(total)
+        return pa.table([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["cell", "n"])
+
+    return run
+
+
+def _class_sums(width: int, least: float):
+    """Tokens and words of the vocabulary outside of the head, by class."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for counts, classes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                count, own = unpack(counts, "i8"), unpack(classes, "u2")
+                rest = count < least
+                tokens = np.bincount(own[rest], weights=count[rest], minlength=width).astype(np.int64)
+                words = np.bincount(own[rest], minlength=width)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(width)), pa.array(tokens), pa.array(words.astype(np.int64))], ["class", "tokens", "words"]
+                )
+
+    return run
+
+
+def place_rest(
+    blocks: DataFrame, words: DataFrame, own: np.ndarray, matrix: np.ndarray, least: float, buckets: int, passes: int = REST_PASSES
+) -> tuple[DataFrame, np.ndarray]:
+    """The vocabulary, written, with a class for every word of the rest, and the class matrix with all words in
+    their classes. Head words have a class of no meaning there."""
+    context = blocks.sparkSession.sparkContext
+    width = len(matrix)
+    state = context.broadcast((own, width))
+    for turn in range(max(1, passes)):
+        known = answers(blocks, words, buckets) if turn else blocks.sparkSession.createDataFrame(
+            [], "block long, places binary, counts binary, classes binary"
+        )
+        around = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+            _around(state, buckets), "bucket long, words binary, cells binary, counts binary"
+        )
+        placed = words.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInArrow(
+            _placer(context.broadcast(matrix), least), _CLASSED
+        )
+        words = written(placed, "classes")
+        known = answers(blocks, words, buckets)
+        cells = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_matrix_counter(state), "cell long, n long")
+        matrix = np.zeros(width * width, dtype=np.float64)
+        for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            matrix[row["cell"]] = row["n"]
+        matrix = matrix.reshape(width, width)
+    return words, matrix
 
 
 # --- the model -------------------------------------------------------------------------------------
@@ -341,140 +597,95 @@ def exchange(pairs: DataFrame, words: int, classes: int = CLASSES, passes: int =
 
 @dataclass(frozen=True)
 class BrownModel:
-    """Everything of bounded size; rare words' counts stay in the vocabulary table."""
+    """Everything of bounded size; counts and classes of the rest stay in the vocabulary table."""
 
     number: dict[bytes, int]
     classes: np.ndarray
     transition: np.ndarray  # class before, class
-    emission: np.ndarray  # by word number; of rare words without their count
-    unigram: np.ndarray  # likewise
+    share: np.ndarray  # tokens of a class; of the class of rare words, what its emission is divided by
+    counts: np.ndarray  # by word number
     tokens: int
     distinct: int
 
+    @property
+    def floor(self) -> float:
+        return 1.0 / (self.tokens + self.distinct + 1)
+
+    def emission(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
+        """Probability of words of these counts in their classes."""
+        return np.where(classes == END, 1.0, (counts + (classes == RARE)) / self.share[classes])
+
 
 @dataclass(frozen=True)
 class Trained:
     model: BrownModel
     vocabulary: DataFrame
+    buckets: int
+    moved: float  # share of the head's words that moved in the last pass
 
 
 def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: int = PASSES) -> Trained:
     """Count, cluster and estimate. Runs its jobs when called."""
-    spark = docs.sparkSession
-    words = vocabulary(docs, text)
+    buckets = bucket_count(docs, text)
+    words = vocabulary(docs, buckets, text)
     sums = words.agg(F.sum("tokens"), F.sum("distinct"), F.sum("texts")).first()
     seen, distinct, texts = (int(v or 0) for v in sums)
     tokens = seen + texts
-    least = max(1.0, tokens / MAX_CLUSTERED)
-    frequent = words.select("words", "counts").mapInArrow(_frequent(least), "word binary, count long").collect()
-    ranked = sorted(((-r["count"], bytes(r["word"])) for r in frequent))
+    least = max(2.0, tokens / MAX_HEAD)
+    head = words.select("words", "counts").mapInArrow(_frequent(least), "word binary, count long").collect()
+    ranked = sorted(((-r["count"], bytes(r["word"])) for r in head))
     number = {w: FIRST + i for i, (_, w) in enumerate(ranked)}
     counts = np.array([texts, 0, *[-c for c, _ in ranked]], dtype=np.float64)
-    shared = spark.sparkContext.broadcast(number)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = _texts(docs, text).mapInArrow(_pair_counter(shared, buckets), _PAIRS)
+    blocks = blocks_of(docs, number, text)
+    slices = blocks.select("numbers").mapInArrow(_pair_counter(len(number) + FIRST, buckets), _PAIRS)
     pairs = written(slices.groupBy("bucket").applyInArrow(_pair_adder, _PAIRS), "bigrams")
-    own, matrix = exchange(pairs, len(number), classes, passes)
+    own, matrix, moved = exchange(pairs, len(number), classes, passes)
     width = len(matrix)
-    rare_tokens = seen - counts[FIRST:].sum()
-    counts[RARE] = rare_tokens
-    share = np.bincount(own, weights=counts, minlength=width)
+    words, matrix = place_rest(blocks, words, own, matrix, least, buckets)
+    tokens_of = np.bincount(own, weights=counts, minlength=width)
+    once = 0
+    sums = words.select("counts", "classes").mapInArrow(_class_sums(width, least), "class long, tokens long, words long")
+    for row in sums.groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect():
+        tokens_of[row["class"]] += row["tokens"]
+        once = row["words"] if row["class"] == RARE else once
     # every class can follow any other, and text can go on after what was never followed
-    prior = (share + 1.0) / (share.sum() + width)
+    prior = (tokens_of + 1.0) / (tokens_of.sum() + width)
     transition = (matrix + PRIOR * prior[None]) / (matrix.sum(axis=1, keepdims=True) + PRIOR)
-    emission = counts / np.maximum(share[own], 1.0)
-    emission[END] = 1.0
-    emission[RARE] = 1.0 / (rare_tokens + (distinct - len(number)) + 1)
-    kinds = distinct + (1 if texts else 0)
-    floor = 1.0 / (tokens + kinds + 1)
-    unigram = (counts + 1.0) * floor
-    unigram[RARE] = floor
-    model = BrownModel(number, own, transition, emission, unigram, tokens, kinds)
-    return Trained(model, words)
+    share = np.maximum(tokens_of, 1.0)
+    share[RARE] = tokens_of[RARE] + once + 1
+    model = BrownModel(number, own, transition, share, counts, tokens, distinct + (1 if texts else 0))
+    return Trained(model, words, buckets, moved)
 
 
 # --- scores ----------------------------------------------------------------------------------------
 
-_ASKED = "bucket long, block long, words binary, places binary, docs binary, ids binary"
-_ASKED_NAMES = ["bucket", "block", "words", "places", "docs", "ids"]
-_ASKED_KINDS = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
 
-
-def _scorer(shared, buckets: int):
-    """Slices of documents as blocks: what is known of each document, and the rare words asked about.
-
-    A row with a bucket asks; the row without one has the documents, with their rare words as places in
-    the block's list of questions.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scorer(shared):
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
         model: BrownModel = shared.value
-        for part in _slices(batches, model.number, ask=True):
-            block = uuid.uuid4().int >> 65
-            found, sizes, asked = part.numbers, part.sizes, part.asked
-            before = np.concatenate((np.array([END], dtype=found.dtype), found[:-1]))
-            first = np.cumsum(sizes) - sizes
-            chain = model.transition[model.classes[before], model.classes[found]]
-            mixed = CLASS_WEIGHT * chain * model.emission[found] + (1 - CLASS_WEIGHT) * model.unigram[found]
-            score = np.add.reduceat(np.log10(mixed), first)
-            base = np.add.reduceat(np.log10(model.unigram[found]), first)
-            n_rare = np.add.reduceat((found == RARE).astype(np.int64), first)
-            known = sizes - n_rare if model.tokens else np.zeros_like(sizes)
-            bucket = _bucket_of(asked, buckets)
-            order = np.argsort(bucket, kind="stable")
-            rows = []
-            for key, a, b in spans_of(bucket[order]):
-                which = order[a:b]
-                rows.append((key, block, b"\n".join([asked[i] for i in which]), pack(which.astype(np.uint32)), None, None))
-            # ids, and which rows have one
-            doc = np.array([[0 if i is None else i for i in part.ids], [i is not None for i in part.ids]], dtype=np.int64)
-            facts = np.concatenate([sizes, known, n_rare, score.view(np.int64), base.view(np.int64)])
-            rows.append((None, block, None, pack(part.rare), facts.tobytes(), doc.tobytes()))
-            yield _batch(rows, _ASKED_NAMES, _ASKED_KINDS)
-
-    return run
-
-
-def _answer(asked: pa.Table, words: pa.Table) -> pa.Table:
-    count: dict[bytes, int] = {}
-    for joined, counts in zip(words.column("words").to_pylist(), words.column("counts").to_pylist()):
-        if joined:
-            count.update(zip(joined.split(b"\n"), unpack(counts, "i8").tolist()))
-    rows = []
-    for block, joined, places in zip(*[asked.column(c).to_pylist() for c in ("block", "words", "places")]):
-        found = np.array([count.get(w, 0) for w in joined.split(b"\n")], dtype=np.int64)
-        there = found > 0
-        rows.append((block, pack(unpack(places, "u4")[there]), pack(found[there])))
-    kinds = [pa.int64(), pa.binary(), pa.binary()]
-    return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 3, kinds)], ["block", "places", "counts"])
-
-
-def _finisher(tokens: int):
-    def run(blocks: pa.Table, answers: pa.Table) -> pa.Table:
         out: dict[str, list] = {c: [] for c in ("doc_id", "there", "n_tokens", "n_known", "base_score", "score")}
-        places = [unpack(x, "u4") for x in answers.column("places").to_pylist()]
-        counts = [unpack(x, "i8") for x in answers.column("counts").to_pylist()]
-        for docs, ids, at in zip(*[blocks.column(c).to_pylist() for c in ("docs", "ids", "places")]):
-            doc, there = np.frombuffer(ids, dtype=np.int64).reshape(2, -1)
-            sizes, known, n_rare, score, base = np.frombuffer(docs, dtype=np.int64).reshape(5, len(doc))
-            at = unpack(at, "u4")
-            count = np.zeros(max([int(at.max()) + 1 if len(at) else 0, *[int(p.max()) + 1 for p in places if len(p)]]))
-            for p, c in zip(places, counts):
-                count[p] = c
-            owner = np.repeat(np.arange(len(doc)), n_rare)
-            more = np.bincount(owner, weights=np.log10(count[at] + 1.0), minlength=len(doc))
+        rows = _block_rows(blocks, told, model.classes)
+        for i, (words, found, own, at) in enumerate(rows):
+            doc, there = np.frombuffer(blocks.column("ids")[i].as_py(), dtype=np.int64).reshape(2, -1)
+            sizes = unpack(blocks.column("sizes")[i].as_py(), "i8")
+            count = model.counts[found]
+            count[found == RARE] = _told(told.column("places").to_pylist(), told.column("counts").to_pylist(), "i8", len(words), 0)[at]
+            before = np.concatenate(([END], own[:-1]))
+            unigram = (count + 1.0) * model.floor
+            mixed = CLASS_WEIGHT * model.transition[before, own] * model.emission(count, own) + (1 - CLASS_WEIGHT) * unigram
+            first = np.cumsum(sizes) - sizes
             out["doc_id"].append(doc)
             out["there"].append(there)
             out["n_tokens"].append(sizes)
-            out["n_known"].append(known + np.bincount(owner, weights=count[at] > 0, minlength=len(doc)).astype(np.int64))
-            out["base_score"].append(base.view(np.float64) + more)
-            out["score"].append(score.view(np.float64) + more)
+            out["n_known"].append(np.add.reduceat((count > 0).astype(np.int64), first))
+            out["base_score"].append(np.add.reduceat(np.log10(unigram), first))
+            out["score"].append(np.add.reduceat(np.log10(mixed), first))
         columns = {k: np.concatenate(v) if v else np.array([]) for k, v in out.items()}
         ids = columns["doc_id"].astype(np.int64)
         return pa.table({
             "doc_id": pa.array(ids, pa.int64(), mask=columns["there"] == 0), "n_tokens": pa.array(columns["n_tokens"].astype(np.int64)),
             "n_known": pa.array(columns["n_known"].astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(ids), tokens, dtype=np.int64)),
+            "train_tokens": pa.array(np.full(len(ids), model.tokens, dtype=np.int64)),
             "base_score": pa.array(columns["base_score"].astype(np.float64)),
             "score": pa.array(columns["score"].astype(np.float64)),
         })
@@ -485,21 +696,13 @@ def _finisher(tokens: int):
 def score(docs: DataFrame, trained: Trained, text: str = "text") -> DataFrame:
     """`doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity` of every document.
 
-    Writes the slices' questions when called; the rest is lazy.
+    Writes the documents' word numbers when called; the rest is lazy.
     """
-    spark = docs.sparkSession
-    model = trained.model
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(model)
-    asked = written(_texts(docs, text).mapInArrow(_scorer(shared, buckets), _ASKED), "questions")
-    questions = asked.filter(F.col("bucket").isNotNull()).select("bucket", "block", "words", "places")
-    known = trained.vocabulary.select("bucket", "words", "counts")
-    answers = questions.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        _answer, "block long, places binary, counts binary"
-    )
-    blocks = asked.filter(F.col("bucket").isNull()).select("block", "docs", "ids", "places")
-    result = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
-        _finisher(model.tokens),
+    shared = docs.sparkSession.sparkContext.broadcast(trained.model)
+    blocks = blocks_of(docs, trained.model.number, text)
+    known = answers(blocks, trained.vocabulary, trained.buckets)
+    result = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        _scorer(shared),
         "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double",
     )
     return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -15,7 +15,7 @@ def words(text):
 
 @pytest.mark.parametrize("clustered", [3, 200_000])
 def test_counts_base_and_known(spark, monkeypatch, clustered):
-    monkeypatch.setattr(brown, "MAX_CLUSTERED", clustered)
+    monkeypatch.setattr(brown, "MAX_HEAD", clustered)
     docs = documents(spark, HARD + [(20 + i, f"the cat {i} sat on the mat {i % 3}", "en", "s") for i in range(40)])
     train = docs.filter("doc_id is not null and doc_id % 3 <> 1")
     rows = brown.score(docs, brown.train(train, passes=3)).collect()
@@ -32,15 +32,83 @@ def test_counts_base_and_known(spark, monkeypatch, clustered):
         assert r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens))
 
 
-def test_probabilities_sum_to_one(spark):
-    docs = documents(spark, [(i, " ".join(f"w{(i * k) % 11}" for k in range(12)), None, None) for i in range(30)])
-    trained = brown.train(docs, classes=4, passes=4)
-    m = trained.model
-    assert np.allclose(m.transition.sum(axis=1), 1.0)
-    # clustered words of each class, and rare words with one unseen word, are distributions
-    for c in range(brown.FIRST, len(m.transition)):
-        inside = m.classes[brown.FIRST :] == c
-        assert not inside.any() or m.emission[brown.FIRST :][inside].sum() == pytest.approx(1.0)
+def classes_of(trained):
+    """Word: (class, count), of the head and of the vocabulary table."""
+    m, out = trained.model, {}
+    for row in trained.vocabulary.collect():
+        names = bytes(row["words"]).split(b"\n") if row["words"] else []
+        for word, own, count in zip(names, brown.unpack(row["classes"], "u2"), brown.unpack(row["counts"], "i8")):
+            n = m.number.get(word)
+            out[word.decode()] = (int(own) if n is None else int(m.classes[n]), int(count))
+    return out
+
+
+SMALL = [(i, " ".join(f"w{(i * k * k) % 23}" for k in range(12)) + f" only{i} pair{i // 2}", None, None) for i in range(40)]
+
+
+@pytest.mark.parametrize("head", [5, 200_000])
+def test_model_against_plain_python(spark, monkeypatch, head):
+    """Scores, recomputed word by word from the classes alone; every word seen twice has a class, others none."""
+    monkeypatch.setattr(brown, "MAX_HEAD", head)
+    docs = documents(spark, SMALL + HARD)
+    trained = brown.train(docs.filter("doc_id % 5 <> 0"), classes=4, passes=4)
+    own = classes_of(trained)
+    assert (len(trained.model.number) < 6) == (head == 5)
+    assert all((c == brown.RARE) == (n == 1) for c, n in own.values())
+    kinds = len(trained.model.transition)
+    texts = [words(r.text) for r in docs.filter("doc_id % 5 <> 0").collect()]
+    kind = lambda w: brown.END if w is None else own.get(w, (brown.RARE, 0))[0]
+    count = Counter(w for t in texts for w in t)
+    pairs = Counter((kind(a), kind(b)) for t in texts for a, b in zip([None] + t, t))
+    tokens, out = Counter(), Counter()
+    for w, n in count.items():
+        tokens[kind(w)] += n
+    for (a, _), n in pairs.items():
+        out[a] += n
+    total, once = sum(count.values()), sum(n == 1 for w, n in count.items() if w is not None)
+
+    def probability(before, w):
+        a, b = kind(before), kind(w)
+        prior = (tokens[b] + 1) / (total + kinds)
+        step = (pairs[a, b] + brown.PRIOR * prior) / (out[a] + brown.PRIOR)
+        if w is None:
+            emit = 1.0
+        elif b == brown.RARE:
+            emit = (count[w] + 1) / (tokens[b] + once + 1)
+        else:
+            emit = count[w] / tokens[b]
+        return brown.CLASS_WEIGHT * step * emit + (1 - brown.CLASS_WEIGHT) * (count[w] + 1) / (total + len(count) + 1)
+
+    wanted = Counter()
+    for r in docs.collect():
+        text = words(r.text)
+        value = sum(math.log10(probability(a, b)) for a, b in zip([None] + text, text))
+        wanted[r.doc_id, round(value, 6)] += 1
+    assert Counter((r.doc_id, round(r.score, 6)) for r in brown.score(docs, trained).collect()) == wanted
+    assert np.allclose(trained.model.transition.sum(axis=1), 1.0)
+    for c in range(brown.FIRST, kinds):
+        inside = [n for k, n in own.values() if k == c]
+        assert not inside or sum(inside) == tokens[c]
+
+
+def test_rest_takes_the_class_of_its_neighbours(spark, monkeypatch):
+    """Words too rare for the head, each between words of one kind: they join the words that stand there, too."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for i in range(300):
+        line = [f"{'ab'[k % 2]}{rng.integers(6)}" for k in range(30)]
+        line[10] = f"rest-a{i % 100}"
+        line[15] = f"rest-b{i % 100}"
+        rows.append((i, " ".join(line), None, None))
+    monkeypatch.setattr(brown, "MAX_HEAD", 1000)
+    trained = brown.train(documents(spark, rows), classes=2, passes=8)
+    assert not any(w.startswith(b"rest") for w in trained.model.number) and 0 <= trained.moved <= 1
+    own = classes_of(trained)
+    for side in "ab":
+        head = {c for w, (c, _) in own.items() if w[0] == side}
+        assert len(head) == 1
+        rest = [c for w, (c, _) in own.items() if w.startswith(f"rest-{side}")]
+        assert len(rest) == 100 and sum(c in head for c in rest) >= 95
 
 
 def test_classes_find_alternation(spark):
