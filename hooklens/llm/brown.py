@@ -15,7 +15,7 @@ one, whose emission is add-one over those seen once and one unseen word.
    forever. It ends when fewer than 1 in 200 words move, or after `PASSES`; `Trained.moved` has the last share.
 2. The rest: all other words seen twice or more, however many. They stay in the vocabulary table, in hash
    buckets, and move by the same rule: slices of text tell a word's bucket the classes around it, where it
-   takes its best class. They move in `REST_PASSES` passes; from the second on, their classes count as neighbours.
+   takes its best class. They move once; their neighbours of the rest count as one class in that.
 3. With all classes known, class bigrams are counted again over all training text.
 
 Counts travel packed: a slice of documents names each word, or pair, once. A slice asks the buckets for the
@@ -45,12 +45,11 @@ from hooklens.llm.packing import pack, spans_of, unpack
 MAX_HEAD = 200_000
 CLASSES = 64
 PASSES = 8
-REST_PASSES = 1
 #: Weight of the class model against the unigram model, and of a class's unigram share in transitions.
 CLASS_WEIGHT = 0.95
 PRIOR = 20.0
 #: Words of text, and distinct words, that a worker holds at once.
-SLICE_TOKENS = 1_000_000
+SLICE_TOKENS = 500_000
 SLICE_WORDS = 300_000
 #: Bytes of training text whose words a bucket holds on average.
 BUCKET_BYTES = 16_000_000
@@ -463,35 +462,50 @@ def _around(shared, buckets: int):
     """For each word of a block without a number, the classes before and after it, told to its bucket: cells
     are `place in words * 2 * width + class after`, and `+ width` for the class before."""
 
-    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, width = shared.value
-        rows = []
-        for words, found, sequence, at in _block_rows(blocks, told, own):
-            where = np.flatnonzero(found == RARE)
-            bucket = _bucket_of(words, buckets)
-            # places among the words of their bucket
-            order = np.argsort(bucket, kind="stable")
-            spans = spans_of(bucket[order])
-            inside = np.zeros(len(words), dtype=np.int64)
-            for _, a, b in spans:
-                inside[order[a:b]] = np.arange(b - a)
-            after = sequence[where + 1]  # a text ends with its end, so a word has one after it
-            before = np.where(where > 0, sequence[where - 1], END)
-            base = inside[at] * 2 * width
-            cell = np.concatenate([base + after, base + width + before])
-            goes = np.concatenate([bucket[at], bucket[at]])
-            by = np.argsort(goes, kind="stable")
-            start = {key: (a, b) for key, a, b in spans}
-            for key, a, b in spans_of(goes[by]):
-                cells, counts = np.unique(cell[by[a:b]], return_counts=True)
-                c, d = start[key]
-                rows.append((key, b"\n".join([words[i] for i in order[c:d]]), pack(cells.astype(np.int64)), pack(counts.astype(np.uint32))))
-        kinds = [pa.int64(), *[pa.binary()] * 3]
-        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 4, kinds)], _AROUND)
+        for batch in batches:
+            for joined, numbers, rare in zip(*[batch.column(c) for c in ("words", "numbers", "rare")]):
+                words, at = _split(joined.as_py()), unpack(rare.as_py(), "u4")
+                found = unpack(numbers.as_py(), "i4")
+                sequence = own[found]
+                where = np.flatnonzero(found == RARE)
+                bucket = _bucket_of(words, buckets)
+                # places among the words of their bucket
+                order = np.argsort(bucket, kind="stable")
+                spans = spans_of(bucket[order])
+                base = np.zeros(len(words), dtype=np.int64)
+                for _, a, b in spans:
+                    base[order[a:b]] = np.arange(b - a) * 2 * width
+                after = sequence[where + 1]  # a text ends with its end, so a word has one after it
+                before = np.where(where > 0, sequence[where - 1], END)
+                cell = np.concatenate([base[at] + after, base[at] + width + before])
+                goes = np.concatenate([bucket[at], bucket[at]])
+                by = np.argsort(goes, kind="stable")
+                rows = []
+                for (key, a, b), (_, c, d) in zip(spans_of(goes[by]), spans):
+                    cells, counts = np.unique(cell[by[a:b]], return_counts=True)
+                    named = b"\n".join([words[i] for i in order[c:d]])
+                    rows.append((key, named, pack(cells), pack(counts.astype(np.uint32))))
+                yield _batch(rows, _AROUND, [pa.int64(), *[pa.binary()] * 3])
 
     return run
 
 
+def _best_sparse(own: np.ndarray, owner: np.ndarray, cell: np.ndarray, n: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """`_best_class` of words with few contexts, given as `owner` (ascending, each there), cell and count."""
+    width = len(matrix)
+    clusters = np.arange(FIRST, width)
+    extra = own[:, None] != clusters[None]
+    level = np.concatenate([matrix[clusters].T, matrix[:, clusters]])[cell]
+    rate = n[:, None] * np.log(level + n[:, None] * extra[owner] + 0.1)
+    starts = np.searchsorted(owner, np.arange(len(own)))
+    count = np.bincount(owner, weights=n * (cell < width), minlength=len(own))
+    mass = matrix[clusters].sum(axis=1)[None] + count[:, None] * extra
+    total = np.add.reduceat(rate, starts, axis=0) - 2 * count[:, None] * np.log(mass + 0.1)
+    return clusters[np.argmax(total, axis=1)]
+
+
 _CLASSED = "bucket long, words binary, counts binary, tokens long, distinct long, texts long, classes binary"
 
 
@@ -506,8 +520,6 @@ def _placer(shared, least: float):
         names = _split(words.column("words")[0].as_py())
         count = unpack(words.column("counts")[0].as_py(), "i8")
         own = np.full(len(names), RARE, dtype=np.int64)
-        if "classes" in words.column_names:
-            own = unpack(words.column("classes")[0].as_py(), "u2").astype(np.int64)
         place = {w: i for i, w in enumerate(names)}
         keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for joined, cells, counts in zip(*[around.column(c).to_pylist() for c in _AROUND[1:]]):
@@ -518,16 +530,14 @@ def _placer(shared, least: float):
         key, index = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(index, weights=np.concatenate(values), minlength=len(key))
         chosen = np.flatnonzero((count >= 2) & (count < least))
-        for start in range(0, len(chosen), 128):
-            part = chosen[start : start + 128]
-            dense = np.zeros((len(part), 2 * width))
-            a, b = np.searchsorted(key, [part[0] * 2 * width, (part[-1] + 1) * 2 * width])
-            row = np.searchsorted(part, key[a:b] // (2 * width))
-            wanted = part[np.minimum(row, len(part) - 1)] == key[a:b] // (2 * width)
-            dense[row[wanted], key[a:b][wanted] % (2 * width)] = total[a:b][wanted]
-            own[part] = _best_class(own[part], dense[:, :width], dense[:, width:], matrix)
-        table = words.drop_columns(["classes"]) if "classes" in words.column_names else words
-        return table.append_column("classes", pa.array([pack(own.astype(np.uint16))], pa.binary()))
+        word = key // (2 * width)
+        for start in range(0, len(chosen), 256):
+            part = chosen[start : start + 256]
+            a, b = np.searchsorted(word, [part[0], part[-1] + 1])
+            here = np.isin(word[a:b], part)
+            owner = np.searchsorted(part, word[a:b][here])
+            own[part] = _best_sparse(own[part], owner, key[a:b][here] % (2 * width), total[a:b][here], matrix)
+        return words.append_column("classes", pa.array([pack(own.astype(np.uint16))], pa.binary()))
 
     return run
 
@@ -565,31 +575,27 @@ def _class_sums(width: int, least: float):
 
 
 def place_rest(
-    blocks: DataFrame, words: DataFrame, own: np.ndarray, matrix: np.ndarray, least: float, buckets: int, passes: int = REST_PASSES
+    blocks: DataFrame, words: DataFrame, own: np.ndarray, matrix: np.ndarray, least: float, buckets: int
 ) -> tuple[DataFrame, np.ndarray]:
     """The vocabulary, written, with a class for every word of the rest, and the class matrix with all words in
-    their classes. Head words have a class of no meaning there."""
+    their classes. Head words have the class of rare ones there, which nothing reads."""
     context = blocks.sparkSession.sparkContext
     width = len(matrix)
     state = context.broadcast((own, width))
-    for turn in range(max(1, passes)):
-        known = answers(blocks, words, buckets) if turn else blocks.sparkSession.createDataFrame(
-            [], "block long, places binary, counts binary, classes binary"
-        )
-        around = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-            _around(state, buckets), "bucket long, words binary, cells binary, counts binary"
-        )
-        placed = words.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInArrow(
-            _placer(context.broadcast(matrix), least), _CLASSED
-        )
-        words = written(placed, "classes")
-        known = answers(blocks, words, buckets)
-        cells = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_matrix_counter(state), "cell long, n long")
-        matrix = np.zeros(width * width, dtype=np.float64)
-        for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
-            matrix[row["cell"]] = row["n"]
-        matrix = matrix.reshape(width, width)
-    return words, matrix
+    around = blocks.select("words", "numbers", "rare").mapInArrow(
+        _around(state, buckets), "bucket long, words binary, cells binary, counts binary"
+    )
+    words = written(words.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInArrow(
+        _placer(context.broadcast(matrix), least), _CLASSED
+    ), "classes")
+    known = answers(blocks, words, buckets)
+    cells = blocks.select("block", "words", "numbers", "rare").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
+        _matrix_counter(state), "cell long, n long"
+    )
+    matrix = np.zeros(width * width, dtype=np.float64)
+    for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        matrix[row["cell"]] = row["n"]
+    return words, matrix.reshape(width, width)
 
 
 # --- the model -------------------------------------------------------------------------------------

@@ -91,6 +91,17 @@ def test_model_against_plain_python(spark, monkeypatch, head):
         assert not inside or sum(inside) == tokens[c]
 
 
+def test_best_class_of_few_contexts():
+    rng = np.random.default_rng(3)
+    matrix = rng.integers(0, 50, (9, 9)).astype(float)
+    dense = rng.integers(0, 3, (40, 18)).astype(float)
+    dense[:, 4] += 1
+    own = rng.integers(brown.RARE, 9, 40)
+    owner, cell = np.nonzero(dense)
+    got = brown._best_sparse(own, owner, cell, dense[owner, cell], matrix)
+    assert (got == brown._best_class(own, dense[:, :9], dense[:, 9:], matrix)).all()
+
+
 def test_rest_takes_the_class_of_its_neighbours(spark, monkeypatch):
     """Words too rare for the head, each between words of one kind: they join the words that stand there, too."""
     rng = np.random.default_rng(5)
