@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hooklens.llm.common import written
+from hooklens.llm.common import forget, written
 from hooklens.llm.packing import pack, spans_of, unpack
 
 MAX_HEAD = 200_000
@@ -646,8 +646,12 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
     slices = blocks.select("numbers").mapInArrow(_pair_counter(len(number) + FIRST, buckets), _PAIRS)
     pairs = written(slices.groupBy("bucket").applyInArrow(_pair_adder, _PAIRS), "bigrams")
     own, matrix, moved = exchange(pairs, len(number), classes, passes)
+    forget(pairs)
     width = len(matrix)
-    words, matrix = place_rest(blocks, words, own, matrix, least, buckets)
+    counted = words
+    words, matrix = place_rest(blocks, counted, own, matrix, least, buckets)
+    forget(counted)
+    forget(blocks)
     tokens_of = np.bincount(own, weights=counts, minlength=width)
     once = 0
     sums = words.select("counts", "classes").mapInArrow(_class_sums(width, least), "class long, tokens long, words long")

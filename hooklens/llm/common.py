@@ -31,7 +31,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
     path = fresh_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.written_to = path
+    return table
+
+
+def forget(table: DataFrame) -> None:
+    """Delete the files of a table that `written` returned, once nothing reads it or what derives from it any more."""
+    spark = table.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
