@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hooklens import lists
@@ -115,20 +117,27 @@ def read_messages_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _digested(read_messages(spark, path, "csv").select(*columns), "subject", "body", "headers_raw", "html")
 
 
+#: Messages of a CSV file, about.
+CSV_ROWS = 20_000
+
+
 def csv_split(spark: SparkSession, sf: str) -> DataFrame:
-    """All messages through one large CSV file, read by many tasks; missing and empty texts stay apart.
+    """All messages through large CSV files, each read by many tasks; missing and empty texts stay apart.
 
-    The file is small at test scale, so byte ranges of 64 KB stand for those of 128 MB.
+    A file holds up to CSV_ROWS messages or so, so that no task writes more. There is one of them at test scale, cut into
+    byte ranges of 64 KB; the ranges of more files are longer, up to 128 MB.
     """
+    files = max(1, math.ceil(views.table(spark, sf, "documents").count() / CSV_ROWS))
+    size = min(files << 16, 1 << 27)
     path = fresh_dir(spark, "messages")
     rows = views.messages(spark, sf, "id", "label", "subject", "body", "html", "headers_raw")
     subject = F.when(F.col("id") % 5 != 0, F.when(F.col("id") % 5 != 1, F.col("subject")).otherwise(""))
     quoted = F.concat(F.lit('"x,"\n"'), F.col("body"), F.lit('"\r\n'))
-    write_table(rows.withColumns({"subject": subject, "body": quoted}).coalesce(1), path, "csv")
+    write_table(rows.withColumns({"subject": subject, "body": quoted}).repartition(files, "id"), path, "csv")
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
         for k in before:
-            spark.conf.set(k, 1 << 16)
+            spark.conf.set(k, size)
         # the ranges are dealt out here
         read = read_csv_split(spark, path)
         parts = written(read.withColumn("_part", F.spark_partition_id()), "read")

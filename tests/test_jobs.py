@@ -208,7 +208,7 @@ def test_a_training_step_is_one_job(spark, monkeypatch, driver_bytes):
 
     from hooklens.models import training
 
-    monkeypatch.setattr(training, "TASK_CELLS", 8)
+    monkeypatch.setattr(training, "TASK_CELLS", 4)
     monkeypatch.setattr(training, "BLOCK_CELLS", 5)
     monkeypatch.setattr(training, "DRIVER_BYTES", driver_bytes)
     rng = np.random.default_rng(5)
@@ -216,7 +216,7 @@ def test_a_training_step_is_one_job(spark, monkeypatch, driver_bytes):
     rows = [(i % 2, 1.0 + i % 3, p, rng.random(len(p)).tolist()) for i, p in enumerate(places)]
     table = training.training_table(spark.createDataFrame(rows, "y_true int, weight double, indices array<int>, weights array<double>"))
     kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    spark.conf.set("spark.sql.files.maxPartitionBytes", 1)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 1 << 16)
     try:
         table = spark.read.parquet(*table.inputFiles())
         assert table.rdd.getNumPartitions() > training.FAN_IN
