@@ -14,7 +14,9 @@ Steps, each exact (no link is lost, nothing is capped):
    at least as many must occur elsewhere at all. This leaves documents that may have a partner.
 2. Their equal sets fold into one node each, told by a signature of 128 bits; nodes are numbered.
 3. Order A needs token counts, which are taken over the nodes; tokens of one node cannot join.
-4. Nodes that share a token of their A prefixes are candidates. To find the components without all
+4. Nodes that share a token of their A prefixes are candidates, if it may be the first one they share: what
+   follows in either must be enough for a link. So a passage of many texts makes no candidates of those whose
+   own tokens, which come first, are too many. To find the components without all
    pairs of a group, each bucket first compares its members with one leader, twice with different
    leaders; then nodes still in different components are compared with one another.
 5. Candidates under A are intersected with those under B and C by the prefixes alone, of which 32 bits a
@@ -411,7 +413,8 @@ def _prefixer(percent: int):
 def prefixes(sets: DataFrame, total: int, percent: int = THRESHOLD) -> DataFrame:
     """`token, node, n, m`: the tokens of each node's A prefix that other nodes hold, too.
 
-    `m` is how many of the node's n tokens other nodes hold; `total` is the number of tokens of all nodes.
+    `m` is how many of the node's n tokens other nodes hold, from this one on in the order; `total` is the number
+    of tokens of all nodes.
     """
     buckets, tasks = _shares(sets.sparkSession, 8 * total)
     blocked = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(buckets)))
@@ -429,7 +432,11 @@ def prefixes(sets: DataFrame, total: int, percent: int = THRESHOLD) -> DataFrame
 
 
 def fits(x: str, y: str, percent: int = THRESHOLD) -> Column:
-    """Whether sizes allow a link: the overlap is at most the tokens either shares with anyone."""
+    """Whether sizes and places allow a link whose first shared token is the bucket's.
+
+    Nothing before that token is shared then, so the overlap is at most the tokens from there on that either shares
+    with anyone. A pair that links meets in the bucket of its first shared token, where it passes.
+    """
     c = lambda side, name: F.col(f"{side}.{name}")
     overlap = F.least(c(x, "m"), c(y, "m"), c(x, "n"), c(y, "n"))
     return overlap * (100 + percent) >= (c(x, "n") + c(y, "n")) * percent

@@ -95,3 +95,21 @@ def test_id_extremes(spark):
     rows = [(5, text, "en", "a"), (least, text.upper(), "en", "a"), (most, text, "en", "a"), (0, "alone here", "en", "a")]
     assert found(spark, rows) == plain(rows)
     assert {c for i, _, c in found(spark, rows) if i != 0} == {least}
+
+
+def test_a_passage_of_many_texts_makes_no_candidates(spark, monkeypatch):
+    """Texts around one passage share the tokens of their prefixes, but own too many to link; those that link do."""
+    counts = []
+    intersected = jaccard.intersected
+
+    def counted(lists, *rest):
+        counts.append(lists.agg({"ys": "count"}).first()[0] and sum(len(r.ys) for r in lists.select("ys").collect()))
+        return intersected(lists, *rest)
+
+    monkeypatch.setattr(jaccard, "intersected", counted)
+    passage = [f"p{i}" for i in range(40)]
+    texts = [" ".join(passage + [f"o{i}x{j // 2}" for j in range(10)]) for i in range(80)]
+    texts += [t + " end" for t in texts[:4]]
+    rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
+    assert found(spark, rows) == plain(rows)
+    assert sum(counts) < 4 * len(rows)
