@@ -403,7 +403,7 @@ def _prefixer(percent: int):
                 out[0].append(first.view(np.int64))
                 out[1].append(np.full(len(first), node, dtype=np.int64))
                 out[2].append(np.full(len(first), n, dtype=np.int64))
-                out[3].append(np.full(len(first), m, dtype=np.int64))
+                out[3].append(m - np.arange(len(first), dtype=np.int64))
         columns = [pa.array(np.concatenate(c) if c else np.array([], dtype=np.int64), pa.int64()) for c in out]
         return pa.table(columns, ["token", "node", "n", "m"])
 
