@@ -55,7 +55,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = bytebpe.encode(docs.select("doc_id", "source", "lang", "text"), offsets=False)
+    # written, so that no executor holds workers of both steps at once
+    encoded = written(bytebpe.encode(docs.select("doc_id", "source", "lang", "text"), offsets=False), "encoded")
     decoded = bytebpe.decode(encoded)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select(

@@ -6,8 +6,8 @@ printable character) and merged by rank. All splits of a token into two tokens a
 rank, in rank order, so the library merges exactly as a rank table does.
 
 Pieces repeat, so a worker merges a piece once and remembers its ids, in a table that is emptied
-when it holds `REMEMBERED` pieces. Text is worked on in slices of an Arrow batch; the largest thing
-a worker holds is one text with its ids. Nothing is shuffled.
+when it holds `REMEMBERED` pieces. Text is worked on in slices of an Arrow batch, which hold the text
+once; only a slice's texts become Python strings. Nothing is shuffled.
 
 A null text encodes as an empty one. Decoding gives the bytes back; a token may begin or end
 inside a character, so bytes are joined before they are read as UTF-8.
@@ -20,13 +20,14 @@ from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from hooklens.llm.common import drop_columns
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-REMEMBERED = 200_000
-SLICE_CHARS = 1_000_000
+REMEMBERED = 100_000
+SLICE_BYTES = 1_000_000
 
 
 @cache
@@ -69,15 +70,14 @@ class Codec:
     def tokenizer(self):
         from tokenizers import Tokenizer, models, pre_tokenizers
 
-        letters, ranks = byte_alphabet(), self.ranks
-        spell = lambda token: "".join(letters[b] for b in token)
+        ranks, name = self.ranks, {rank: token for token, rank in self.spelled.items()}
         merges = sorted(
-            (rank, ranks[token[:i]], ranks[token[i:]], token[:i], token[i:])
+            (rank, ranks[token[:i]], ranks[token[i:]])
             for token, rank in ranks.items()
             for i in range(1, len(token))
             if token[:i] in ranks and token[i:] in ranks
         )
-        model = models.BPE(vocab=self.spelled, merges=[(spell(a), spell(b)) for *_, a, b in merges])
+        model = models.BPE(vocab=self.spelled, merges=[(name[a], name[b]) for _, a, b in merges])
         made = Tokenizer(model)
         # a piece is one word here: it is only spelled in the byte alphabet, not split again
         made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
@@ -90,8 +90,8 @@ class Codec:
             self.memory.clear()
         memory = self.memory
         new = list({p for pieces in split for p in pieces if p not in memory})
-        for i in range(0, len(new), 50_000):
-            self._learn(new[i : i + 50_000])
+        for i in range(0, len(new), 5_000):
+            self._learn(new[i : i + 5_000])
         return [b"".join([memory[p] for p in pieces]) for pieces in split]
 
     def _learn(self, pieces: list[str]) -> None:
@@ -130,15 +130,14 @@ def codec(vocabulary: str, pattern: str | None) -> Codec:
     return Codec(path, pattern or public_tokenizers.PATTERN)
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= SLICE_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def _slices(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        end = min(int(np.searchsorted(ends, before + SLICE_BYTES)) + 1, len(texts))
+        yield start, end
+        start = end
 
 
 def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
@@ -154,31 +153,35 @@ def encode(
     """Add `ids`, `n_tokens`, `n_split` (tokens that begin or end inside a character) and, if asked for,
     `starts` and `ends`: the characters each token covers, in part or whole."""
     rows = drop_columns(docs, "ids", "n_tokens", "n_split", "starts", "ends")
-    kept = [c for c in rows.columns if c != text] if text != "text" else rows.columns
-    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    order = [c for c in rows.columns if c != text or text == "text"]
+    # a column named `text` stays, and goes to the worker once
+    kept = [c for c in rows.columns if c != text]
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], F.col(text).alias("text" if text == "text" else "_text"))
+    passed = len(kept) + (text == "text")
     added = [T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("n_tokens", T.LongType()),
              T.StructField("n_split", T.LongType())]
     if offsets:
         added += [T.StructField(c, T.ArrayType(T.IntegerType())) for c in ("starts", "ends")]
-    schema = T.StructType([*rows.drop("_text").schema.fields, *added])
+    schema = T.StructType([*rows.schema.fields[:passed], *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(vocabulary, pattern)
         kind = pa.list_(pa.int32())
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(batch.num_columns - 1)
             for start, end in _slices(texts):
-                part = texts[start:end]
+                part = [t or "" for t in texts.slice(start, end - start).to_pylist()]
                 ids = [np.frombuffer(b, dtype="<u4") for b in own.encode(part)]
                 placed = [own.offsets(t, i) for t, i in zip(part, ids)]
-                columns = [*batch.slice(start, end - start).columns[:-1]]
+                columns = [*batch.slice(start, end - start).columns[:passed]]
                 columns += [_lists(ids, kind), pa.array([len(i) for i in ids], pa.int64())]
                 columns.append(pa.array([int(p[2].sum()) for p in placed], pa.int64()))
                 if offsets:
                     columns += [_lists([p[k] for p in placed], kind) for k in (0, 1)]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    made = rows.mapInArrow(run, schema)
+    return made.select(*[F.col(f"`{c}`") for c in order], *[f.name for f in added])
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern: str | None = None) -> DataFrame:

@@ -43,3 +43,19 @@ def test_empty_table(spark):
         docs = corpus_pipeline.written(stage(spark, docs, ""), f"t-{name}")
     assert docs.count() == 0
     assert hashlib.sha256(b"").hexdigest()  # nothing was made up
+
+
+def test_tokens_run_one_python_step_at_a_time(spark):
+    rows = documents(spark, [(1, "a text", "en", "a"), (2, None, "en", "a")])
+    out = corpus_pipeline.tokens(spark, rows, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r.doc_id, r.n_tokens, r.exact) for r in out.collect()) == [(1, 2, True), (2, 0, True)]
+
+
+def test_encoder_sends_a_text_once(spark):
+    rows = documents(spark, [(1, "a text", "en", "a"), (2, None, "en", "a")])
+    encoded = bytebpe.encode(rows, offsets=False)
+    sent = encoded._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1]
+    assert "coalesce(text" not in sent and "_text" not in sent
+    assert encoded.columns == [*rows.columns, "ids", "n_tokens", "n_split"]
+    assert {r.doc_id: (r.text, r.n_tokens) for r in encoded.collect()} == {1: ("a text", 2), 2: (None, 0)}
