@@ -18,7 +18,9 @@ Steps, each exact (no link is lost, nothing is capped):
    follows in either must be enough for a link. So a passage of many texts makes no candidates of those whose
    own tokens, which come first, are too many. To find the components without all
    pairs of a group, each bucket first compares its members with one leader, twice with different
-   leaders; then nodes still in different components are compared with one another.
+   leaders; while many pairs are left across components, it does so with more leaders (`LEADERS`), which joins
+   a node to its group once one of them links. Nodes still in different components are then compared with one
+   another.
 5. Candidates under A are intersected with those under B and C by the prefixes alone, of which 32 bits a
    token are kept; a chance meeting of those bits drops nothing that links. Sets are fetched for the nodes
    of the candidates left, and only these are verified.
@@ -49,6 +51,9 @@ SHINGLE = 5
 THRESHOLD = 75  # percent
 #: Share of a set by which prefixes are longer in step 1.
 EXTRA = 0.15
+#: Leaders of a bucket in further rounds, while the pairs across components are more than CROWDED times all members.
+LEADERS = (64,)
+CROWDED = 2
 SLICE_BYTES = 4_000_000
 CHUNK_TOKENS = 250_000
 BITMAP_BITS = 1 << 26
@@ -442,23 +447,30 @@ def fits(x: str, y: str, percent: int = THRESHOLD) -> Column:
     return overlap * (100 + percent) >= (c(x, "n") + c(y, "n")) * percent
 
 
-def leader_pairs(buckets: DataFrame, seed: int, percent: int = THRESHOLD) -> DataFrame:
-    """`x, y`: every member y of a bucket with its leader x, chosen by a hash.
+def leader_pairs(buckets: DataFrame, seed: int, percent: int = THRESHOLD, leaders: int = 1) -> DataFrame:
+    """`x, y`: every member y of a bucket with its leaders x, at most as many as asked for, chosen by a hash.
 
     `buckets` has `token, node, n, m, label`. With seed 0 leaders are the same in all buckets where they
     stand, so that groups meet in few of them; with others each bucket has its own. Members of one label
     need no comparison.
     """
     draw = F.xxhash64("node") if seed == 0 else F.xxhash64(F.lit(seed), "node", "token")
-    leaders = buckets.groupBy("token").agg(
-        F.min(F.struct(draw.alias("d"), F.col("node"), F.col("n"), F.col("m"), F.col("label"))).alias("l"),
-    ).select("token", "l.*")
+    drawn = buckets.withColumn("d", draw).withColumn("slot", F.pmod("d", F.lit(leaders)))
+    leaders = drawn.groupBy("token", "slot").agg(F.min(F.struct("d", "node", "n", "m", "label")).alias("l")).select("token", "l.*")
     paired = buckets.alias("y").join(leaders.alias("x"), "token").filter(
         (F.col("x.node") != F.col("y.node")) & (F.col("x.label") != F.col("y.label")) & fits("x", "y", percent)
     )
     return paired.select(F.col("x.node").alias("x"), F.col("y.node").alias("y")).distinct()
 
 
+def mixed(buckets: DataFrame) -> tuple[DataFrame, int]:
+    """The buckets with several labels, and how many pairs across labels they have, up to twice."""
+    by_label = buckets.groupBy("token", "label").agg(F.count("*").alias("rows"))
+    sizes = by_label.groupBy("token").agg(F.sum("rows").alias("rows"), F.max("rows").alias("most")).filter("most < rows")
+    pairs = sizes.agg(F.sum(F.col("rows").cast("double") * (F.col("rows") - F.col("most")))).first()[0] or 0
+    return buckets.join(sizes.select("token"), "token", "left_semi"), pairs
+
+
 _MEMBERS = 1024
 
 
@@ -593,6 +605,8 @@ def _intersecter(percent: int):
                 fit = _meet(np.frombuffer(prefix.as_py(), dtype=np.uint32), flats[side], starts[at], width[at]) > 0
             if len(at) and fit.any():
                 out.append((x.as_py(), ys[fit]))
+        if out:
+            out.append((None, np.unique(np.concatenate([y for _, y in out]))))
         return pa.table(
             [pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.list_(pa.int64()))], ["x", "ys"]
         )
@@ -601,7 +615,10 @@ def _intersecter(percent: int):
 
 
 def intersected(lists: DataFrame, orders: DataFrame, chunks: int, percent: int = THRESHOLD) -> DataFrame:
-    """Candidates `x, chunk, ys` that share prefix tokens under all orders: `x, ys`, a row for each x and chunk."""
+    """Candidates `x, chunk, ys` that share prefix tokens under all orders: `x, ys`, a row for each x and chunk.
+
+    A row of each chunk without x has all its members that some list names, each once.
+    """
     asked = lists.join(orders.withColumnRenamed("node", "x"), "x")
     placed = orders.mapInArrow(_with_chunk(chunks), "node long, n long, least binary, greatest binary, chunk long")
     return asked.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(
@@ -633,6 +650,12 @@ def _verifier(percent: int):
     return run
 
 
+def named(left: DataFrame) -> DataFrame:
+    """The nodes `x` of what `intersected` returns: however many candidates a node has, its chunk names it once."""
+    ys = left.filter("x IS NULL").select(F.explode("ys").alias("x"))
+    return left.filter("x IS NOT NULL").select("x").distinct().unionAll(ys).distinct()
+
+
 def verify(lists: DataFrame, sets: DataFrame, orders: DataFrame, chunks: int, percent: int = THRESHOLD) -> DataFrame:
     """The links `x, y`, written, among candidates `x, chunk, ys` under A.
 
@@ -640,9 +663,8 @@ def verify(lists: DataFrame, sets: DataFrame, orders: DataFrame, chunks: int, pe
     they are. What is left is checked chunk by chunk of the sets.
     """
     left = written(intersected(lists, orders, chunks, percent), "intersected")
-    named = left.select("x").unionAll(left.select(F.explode("ys").alias("x"))).distinct()
-    needed = _only(sets.select("node", "tokens"), named, "x", "node")
-    dealt = left.mapInArrow(_dealer(chunks), "x long, chunk long, ys array<long>")
+    needed = _only(sets.select("node", "tokens"), named(left), "x", "node")
+    dealt = left.filter("x IS NOT NULL").mapInArrow(_dealer(chunks), "x long, chunk long, ys array<long>")
     asked = dealt.join(needed.select(F.col("node").alias("x"), "tokens"), "x")
     placed = needed.mapInArrow(_with_chunk(chunks), "node long, tokens array<long>, chunk long")
     links = asked.groupBy("chunk").cogroup(placed.groupBy("chunk")).applyInArrow(_verifier(percent), "x long, y long")
@@ -663,12 +685,20 @@ def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     labelled = rows.withColumn("label", F.col("node"))
     links = None
     labels = None
-    for seed in (0, 1):
+    members = rows.count()
+    for seed, leaders in enumerate((1, 1, *LEADERS)):
+        asking = labelled
+        if seed > 1:
+            asking, pairs = mixed(labelled)
+            if pairs <= CROWDED * members:
+                break
         # a node with many partners asks about them chunk by chunk
-        pairs = leader_pairs(labelled, seed, percent).select("y", "x")
+        pairs = leader_pairs(asking, seed, percent, leaders).select("y", "x")
         pairs = pairs.mapInArrow(_with_chunk(chunks), "y long, x long, chunk long")
         lists = pairs.groupBy("x", "chunk").agg(F.collect_list("y").alias("ys"))
         found = verify(lists, sets, orders, chunks, percent)
+        if seed > 1 and found.isEmpty():
+            break
         links = found if links is None else links.unionAll(found)
         labels = components(links)
         labelled = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

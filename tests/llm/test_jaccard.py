@@ -113,3 +113,29 @@ def test_a_passage_of_many_texts_makes_no_candidates(spark, monkeypatch):
     rows = [(i, t, "en", "s") for i, t in enumerate(texts)]
     assert found(spark, rows) == plain(rows)
     assert sum(counts) < 16 * len(rows)
+
+
+def test_a_chunk_names_a_node_once(spark, monkeypatch):
+    """Many of a group do not link; further rounds of leaders, and a look-up of sets that does not grow with pairs."""
+    seen = []
+
+    def kept(df, name):
+        made = written(df, name)
+        seen.extend([made] if name == "intersected" else [])
+        return made
+
+    written = jaccard.written
+    monkeypatch.setattr(jaccard, "written", kept)
+    monkeypatch.setattr(jaccard, "CHUNK_TOKENS", 2000)
+    monkeypatch.setattr(jaccard, "LEADERS", (4, 16))
+    monkeypatch.setattr(jaccard, "CROWDED", 0)
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, edited(base, rng, rng.randint(2, 5)), "en", "s") for i in range(160)]
+    assert found(spark, rows) == plain(rows)
+    assert len(seen) > 3
+    for left in seen:
+        pairs = [y for r in left.filter("x IS NOT NULL").collect() for y in r.ys]
+        once = [y for r in left.filter("x IS NULL").collect() for y in r.ys]
+        assert sorted(once) == sorted(set(pairs))
+    assert len(pairs) > 5 * len(once)
