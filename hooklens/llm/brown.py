@@ -16,7 +16,8 @@ one, whose emission is add-one over those seen once and one unseen word.
 2. The rest: all other words seen twice or more, however many. They stay in the vocabulary table, in hash
    buckets, and move by the same rule: slices of text tell a word's bucket the classes around it, where it
    takes its best class. They move once; their neighbours of the rest count as one class in that.
-3. With all classes known, class bigrams are counted again over all training text.
+3. With all classes known, class bigrams are counted again over all training text. The training blocks are written
+   with what they were told, so that scoring the training texts (`score_trained`) neither reads nor asks again.
 
 Counts travel packed: a slice of documents names each word, or pair, once. A slice asks the buckets for the
 counts and classes of its rest words; texts are not shuffled, but their word numbers are. There are as many
@@ -201,7 +202,7 @@ def _frequent(least: float):
 
 # --- texts as word numbers --------------------------------------------------------------------------
 
-_BLOCK = "block long, words binary, numbers binary, rare binary, sizes binary, ids binary"
+_BLOCK = "block long, words binary, numbers binary, rare binary, sizes binary, ids binary, asked long"
 
 
 def _blocker(shared):
@@ -213,8 +214,9 @@ def _blocker(shared):
             # ids, and which rows have one
             ids = np.array([[0 if i is None else i for i in part.ids], [i is not None for i in part.ids]], dtype=np.int64)
             row = (uuid.uuid4().int >> 65, b"\n".join(part.asked), pack(part.numbers.astype(np.int32)), pack(part.rare),
-                   pack(part.sizes), ids.tobytes())
-            yield _batch([row], ["block", "words", "numbers", "rare", "sizes", "ids"], [pa.int64(), *[pa.binary()] * 5])
+                   pack(part.sizes), ids.tobytes(), len(part.asked))
+            names = ["block", "words", "numbers", "rare", "sizes", "ids", "asked"]
+            yield _batch([row], names, [pa.int64(), *[pa.binary()] * 5, pa.int64()])
 
     return run
 
@@ -283,6 +285,29 @@ def _told(places: list[bytes], values: list[bytes], kind: str, size: int, other:
     return out
 
 
+_TOLD = "numbers binary, rare binary, sizes binary, ids binary, counts binary, classes binary"
+_TOLD_NAMES = ["numbers", "rare", "sizes", "ids", "counts", "classes"]
+
+
+def _teller(blocks: pa.Table, told: pa.Table) -> pa.Table:
+    """A block with the counts and classes of its words without a number, in their order."""
+    places, counts, classes = (told.column(c).to_pylist() for c in ("places", "counts", "classes"))
+    rows = []
+    for numbers, rare, sizes, ids, asked in zip(*[blocks.column(c).to_pylist() for c in (*_TOLD_NAMES[:4], "asked")]):
+        count = _told(places, counts, "i8", asked, 0)
+        own = _told(places, classes, "u2", asked, RARE)
+        rows.append((numbers, rare, sizes, ids, pack(count), pack(own.astype(np.uint16))))
+    columns = zip(*rows) if rows else [[]] * len(_TOLD_NAMES)
+    return pa.table([pa.array(c, pa.binary()) for c in columns], _TOLD_NAMES)
+
+
+def told_blocks(blocks: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
+    """Blocks with what the vocabulary has of their words; the words themselves are not shuffled."""
+    known = answers(blocks, words, buckets)
+    bare = blocks.select("block", "numbers", "rare", "sizes", "ids", "asked")
+    return bare.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_teller, _TOLD)
+
+
 # --- bigrams ---------------------------------------------------------------------------------------
 
 
@@ -437,24 +462,14 @@ def exchange(
 # --- the rest ----------------------------------------------------------------------------------------
 
 
-def _class_sequence(own: np.ndarray, numbers: bytes, rare: bytes, told: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word numbers of a block, the classes of its tokens, and each unnumbered token's place among its words."""
+def _class_sequence(own: np.ndarray, numbers: bytes, rare: bytes, classes: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word numbers of a told block, the classes of its tokens, and each unnumbered token's place among its words."""
     found, at = unpack(numbers, "i4"), unpack(rare, "u4")
     sequence = own[found]
-    sequence[found == RARE] = told[at]
+    sequence[found == RARE] = unpack(classes, "u2")[at]
     return found, sequence, at
 
 
-def _block_rows(blocks: pa.Table, told: pa.Table, own: np.ndarray):
-    """Each block with the classes of its tokens; what is not told is in the class of rare words."""
-    for i in range(blocks.num_rows):
-        words = _split(blocks.column("words")[i].as_py())
-        classes = _told(told.column("places").to_pylist(), told.column("classes").to_pylist(), "u2", len(words), RARE)
-        yield words, *_class_sequence(
-            own, blocks.column("numbers")[i].as_py(), blocks.column("rare")[i].as_py(), classes
-        )
-
-
 _AROUND = ["bucket", "words", "cells", "counts"]
 
 
@@ -543,16 +558,18 @@ def _placer(shared, least: float):
 
 
 def _matrix_counter(shared):
-    """Class bigrams of blocks under the classes of all words."""
+    """Class bigrams of told blocks under the classes of all words."""
 
-    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, width = shared.value
         total = np.zeros(width * width, dtype=np.int64)
-        for _, _, sequence, _ in _block_rows(blocks, told, own):
-            before = np.concatenate(([END], sequence[:-1]))
-            total += np.bincount(before * width + sequence, minlength=width * width)
+        for batch in batches:
+            for numbers, rare, classes in zip(*[batch.column(c) for c in ("numbers", "rare", "classes")]):
+                _, sequence, _ = _class_sequence(own, numbers.as_py(), rare.as_py(), classes.as_py())
+                before = np.concatenate(([END], sequence[:-1]))
+                total += np.bincount(before * width + sequence, minlength=width * width)
         there = np.flatnonzero(total)
-        return pa.table([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["cell", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there], pa.int64())], ["cell", "n"])
 
     return run
 
@@ -576,9 +593,9 @@ def _class_sums(width: int, least: float):
 
 def place_rest(
     blocks: DataFrame, words: DataFrame, own: np.ndarray, matrix: np.ndarray, least: float, buckets: int
-) -> tuple[DataFrame, np.ndarray]:
-    """The vocabulary, written, with a class for every word of the rest, and the class matrix with all words in
-    their classes. Head words have the class of rare ones there, which nothing reads."""
+) -> tuple[DataFrame, DataFrame, np.ndarray]:
+    """The vocabulary with a class for every word of the rest, the told blocks, both written, and the class matrix
+    with all words in their classes. Head words have the class of rare ones in the vocabulary, which nothing reads."""
     context = blocks.sparkSession.sparkContext
     width = len(matrix)
     state = context.broadcast((own, width))
@@ -588,14 +605,12 @@ def place_rest(
     words = written(words.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInArrow(
         _placer(context.broadcast(matrix), least), _CLASSED
     ), "classes")
-    known = answers(blocks, words, buckets)
-    cells = blocks.select("block", "words", "numbers", "rare").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _matrix_counter(state), "cell long, n long"
-    )
+    told = written(told_blocks(blocks, words, buckets), "told")
+    cells = told.select("numbers", "rare", "classes").mapInArrow(_matrix_counter(state), "cell long, n long")
     matrix = np.zeros(width * width, dtype=np.float64)
     for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         matrix[row["cell"]] = row["n"]
-    return words, matrix.reshape(width, width)
+    return words, told, matrix.reshape(width, width)
 
 
 # --- the model -------------------------------------------------------------------------------------
@@ -628,6 +643,7 @@ class Trained:
     vocabulary: DataFrame
     buckets: int
     moved: float  # share of the head's words that moved in the last pass
+    told: DataFrame  # the training texts as blocks of word numbers, with counts and classes
 
 
 def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: int = PASSES) -> Trained:
@@ -649,7 +665,7 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
     forget(pairs)
     width = len(matrix)
     counted = words
-    words, matrix = place_rest(blocks, counted, own, matrix, least, buckets)
+    words, told, matrix = place_rest(blocks, counted, own, matrix, least, buckets)
     forget(counted)
     forget(blocks)
     tokens_of = np.bincount(own, weights=counts, minlength=width)
@@ -664,55 +680,60 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
     share = np.maximum(tokens_of, 1.0)
     share[RARE] = tokens_of[RARE] + once + 1
     model = BrownModel(number, own, transition, share, counts, tokens, distinct + (1 if texts else 0))
-    return Trained(model, words, buckets, moved)
+    return Trained(model, words, buckets, moved, told)
 
 
 # --- scores ----------------------------------------------------------------------------------------
 
 
+_SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+
+
 def _scorer(shared):
-    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: BrownModel = shared.value
-        out: dict[str, list] = {c: [] for c in ("doc_id", "there", "n_tokens", "n_known", "base_score", "score")}
-        rows = _block_rows(blocks, told, model.classes)
-        for i, (words, found, own, at) in enumerate(rows):
-            doc, there = np.frombuffer(blocks.column("ids")[i].as_py(), dtype=np.int64).reshape(2, -1)
-            sizes = unpack(blocks.column("sizes")[i].as_py(), "i8")
-            count = model.counts[found]
-            count[found == RARE] = _told(told.column("places").to_pylist(), told.column("counts").to_pylist(), "i8", len(words), 0)[at]
-            before = np.concatenate(([END], own[:-1]))
-            unigram = (count + 1.0) * model.floor
-            mixed = CLASS_WEIGHT * model.transition[before, own] * model.emission(count, own) + (1 - CLASS_WEIGHT) * unigram
-            first = np.cumsum(sizes) - sizes
-            out["doc_id"].append(doc)
-            out["there"].append(there)
-            out["n_tokens"].append(sizes)
-            out["n_known"].append(np.add.reduceat((count > 0).astype(np.int64), first))
-            out["base_score"].append(np.add.reduceat(np.log10(unigram), first))
-            out["score"].append(np.add.reduceat(np.log10(mixed), first))
-        columns = {k: np.concatenate(v) if v else np.array([]) for k, v in out.items()}
-        ids = columns["doc_id"].astype(np.int64)
-        return pa.table({
-            "doc_id": pa.array(ids, pa.int64(), mask=columns["there"] == 0), "n_tokens": pa.array(columns["n_tokens"].astype(np.int64)),
-            "n_known": pa.array(columns["n_known"].astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(ids), model.tokens, dtype=np.int64)),
-            "base_score": pa.array(columns["base_score"].astype(np.float64)),
-            "score": pa.array(columns["score"].astype(np.float64)),
-        })
+        for batch in batches:
+            for row in zip(*[batch.column(c) for c in _TOLD_NAMES]):
+                yield _scored(model, *[value.as_py() for value in row])
 
     return run
 
 
+def _scored(
+    model: BrownModel, numbers: bytes, rare: bytes, sizes: bytes, ids: bytes, counts: bytes, classes: bytes
+) -> pa.RecordBatch:
+    found, own, at = _class_sequence(model.classes, numbers, rare, classes)
+    doc, there = np.frombuffer(ids, dtype=np.int64).reshape(2, -1)
+    size = unpack(sizes, "i8")
+    count = model.counts[found]
+    count[found == RARE] = unpack(counts, "i8")[at]
+    before = np.concatenate(([END], own[:-1]))
+    unigram = (count + 1.0) * model.floor
+    mixed = CLASS_WEIGHT * model.transition[before, own] * model.emission(count, own) + (1 - CLASS_WEIGHT) * unigram
+    first = np.cumsum(size) - size
+    return pa.RecordBatch.from_arrays([
+        pa.array(doc, pa.int64(), mask=there == 0), pa.array(size),
+        pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
+        pa.array(np.full(len(doc), model.tokens, dtype=np.int64)),
+        pa.array(np.add.reduceat(np.log10(unigram), first)), pa.array(np.add.reduceat(np.log10(mixed), first)),
+    ], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+
+def _scores(told: DataFrame, model: BrownModel) -> DataFrame:
+    shared = told.sparkSession.sparkContext.broadcast(model)
+    result = told.select(*_TOLD_NAMES).mapInArrow(_scorer(shared), _SCORES)
+    return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
 def score(docs: DataFrame, trained: Trained, text: str = "text") -> DataFrame:
     """`doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity` of every document.
 
     Writes the documents' word numbers when called; the rest is lazy.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(trained.model)
     blocks = blocks_of(docs, trained.model.number, text)
-    known = answers(blocks, trained.vocabulary, trained.buckets)
-    result = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
-        _scorer(shared),
-        "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double",
-    )
-    return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    return _scores(told_blocks(blocks, trained.vocabulary, trained.buckets), trained.model)
+
+
+def score_trained(trained: Trained) -> DataFrame:
+    """`score` of the training documents, from their blocks: they are not read, nor looked up, again."""
+    return _scores(trained.told, trained.model)

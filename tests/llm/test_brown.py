@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from hooklens.llm import brown
+from hooklens.llm import brown, queries
 from tests.llm.helpers import HARD, WORDS, documents, lower
 
 
@@ -149,3 +149,18 @@ def test_id_extremes(spark):
     docs = documents(spark, rows)
     got = brown.score(docs, brown.train(docs)).collect()
     assert sorted((r.doc_id for r in got), key=str) == sorted((r[0] for r in rows), key=str)
+
+
+def test_training_texts_become_blocks_once(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(7)
+    rows = [(i, " ".join(f"w{rng.integers(60)}" for _ in range(30)), "en", "a") for i in range(60)]
+    rows += [(None, "w1 w2 w1", "en", "a"), (61, None, "en", "a"), (3, "w5 new words", "en", "a")]
+    documents(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    made = brown.blocks_of
+    counts = []
+    monkeypatch.setattr(brown, "blocks_of", lambda docs, *a: (counts.append(docs.count()), made(docs, *a))[1])
+    got = queries.op1_brown_classes(spark, str(tmp_path)).collect()
+    assert len(counts) == 2 and sum(counts) == len(rows) == len(got)
+    trained = brown.train(documents(spark, rows), classes=4, passes=2)
+    asked = [tuple(r) for r in brown.score(documents(spark, rows), trained).collect()]
+    assert sorted(map(str, asked)) == sorted(str(tuple(r)) for r in brown.score_trained(trained).collect())
