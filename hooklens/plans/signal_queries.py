@@ -142,7 +142,9 @@ def link_table(spark: SparkSession, sf: str) -> DataFrame:
     kinds = F.array(*[F.lit(html) for html, _, _ in HARD_LINKS])
     hard = F.replace(F.get(kinds, (F.col("id") % len(HARD_LINKS)).cast("int")), F.lit("{id}"), F.col("id").cast("string"))
     both = both.unionByName(views.messages(spark, sf, "id").select("id", hard.alias("html"), F.lit("hard").alias("origin")))
-    links = HT.link_table(both.withColumn("id", F.concat("origin", F.lit(":"), "id")))
+    both = both.withColumn("id", F.concat("origin", F.lit(":"), "id"))
+    # HTML is dealt out before it is parsed: a file of one row group is read by one task, however large it is
+    links = HT.link_table(both.select("id", "html").repartition("id", "html"))
     return _wide_ints(links)
 
 

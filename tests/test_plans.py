@@ -82,3 +82,19 @@ PYTHON_ALLOWED = {"q_url_nfkc", "q_url_signals", "q_url_features", "q_signal_rea
 def test_no_python_in_plans(spark, name):
     text = plan(catalog.queries()[name](spark, SF_DIR))
     assert "EvalPython" not in text and "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_link_html_is_dealt_out_before_it_is_parsed(spark, tmp_path):
+    from hooklens.plans.signal_queries import link_table as query
+
+    html = '<a href="http://x.com">x</a>'
+    tables = {
+        "documents": ([(1, "see http://a.com/", "en", "s")], "doc_id long, text string, lang string, source string"),
+        "labels": ([(1, 1)], "doc_id long, toxic int"),
+        "pages": ([(0, "http://p.com", html), (None, None, html), (0, "http://p.com", html)], "page_id long, url string, html string"),
+    }
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    links = query(spark, str(tmp_path))
+    assert "RepartitionByExpression" in links._jdf.queryExecution().optimizedPlan().toString().split("Generate")[1]
+    assert links.filter("host = 'x.com'").count() == 3
