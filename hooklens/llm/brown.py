@@ -524,6 +524,18 @@ def _best_sparse(own: np.ndarray, owner: np.ndarray, cell: np.ndarray, n: np.nda
 _CLASSED = "bucket long, words binary, counts binary, tokens long, distinct long, texts long, classes binary"
 
 
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their values. The lists are emptied, to hold a key no more than thrice."""
+    key, value = np.concatenate(keys), np.concatenate(values)
+    keys.clear()
+    values.clear()
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    del order
+    starts = np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
+    return key[starts], np.add.reduceat(value, starts, dtype=np.int64).astype(np.float64) if len(key) else np.zeros(0)
+
+
 def _placer(shared, least: float):
     """The vocabulary's buckets with the best class of every word of the rest."""
 
@@ -536,14 +548,14 @@ def _placer(shared, least: float):
         count = unpack(words.column("counts")[0].as_py(), "i8")
         own = np.full(len(names), RARE, dtype=np.int64)
         place = {w: i for i, w in enumerate(names)}
-        keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for joined, cells, counts in zip(*[around.column(c).to_pylist() for c in _AROUND[1:]]):
-            at = np.array([place[w] for w in _split(joined)], dtype=np.int64)
-            cell = unpack(cells, "i8")
+        keys, values = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        for joined, cells, counts in zip(*[around.column(c) for c in _AROUND[1:]]):
+            at = np.array([place[w] for w in _split(joined.as_py())], dtype=np.int64)
+            cell = unpack(cells.as_py(), "i8")
             keys.append(at[cell // (2 * width)] * 2 * width + cell % (2 * width))
-            values.append(unpack(counts, "u4").astype(np.int64))
-        key, index = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(index, weights=np.concatenate(values), minlength=len(key))
+            values.append(unpack(counts.as_py(), "u4"))
+        del around, place
+        key, total = _summed(keys, values)
         chosen = np.flatnonzero((count >= 2) & (count < least))
         word = key // (2 * width)
         for start in range(0, len(chosen), 256):

@@ -164,3 +164,11 @@ def test_training_texts_become_blocks_once(spark, monkeypatch, tmp_path):
     trained = brown.train(documents(spark, rows), classes=4, passes=2)
     asked = [tuple(r) for r in brown.score(documents(spark, rows), trained).collect()]
     assert sorted(map(str, asked)) == sorted(str(tuple(r)) for r in brown.score_trained(trained).collect())
+
+
+def test_sums_of_keys_let_go_of_their_parts():
+    keys = [np.array([5, 2, 5], dtype=np.int64), np.zeros(0, np.int64), np.array([2**40, 2], dtype=np.int64)]
+    values = [np.array([2**32 - 1, 2, 3], dtype=np.uint32), np.zeros(0, np.uint32), np.array([7, 1], dtype=np.uint32)]
+    key, total = brown._summed(keys, values)
+    assert key.tolist() == [2, 5, 2**40] and total.tolist() == [3, 2**32 + 2, 7] and not keys and not values
+    assert [len(x) for x in brown._summed([np.zeros(0, np.int64)], [np.zeros(0, np.uint32)])] == [0, 0]
