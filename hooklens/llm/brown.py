@@ -29,12 +29,13 @@ empty: just the end token. Rows that repeat count, and are scored, each time.
 
 from __future__ import annotations
 
+import ctypes
 import math
 import uuid
 from array import array
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -115,6 +116,35 @@ def _bucket_of(words: list[bytes], buckets: int) -> np.ndarray:
     return np.array([digest(w) % buckets for w in words], dtype=np.int64)
 
 
+def _give_back() -> None:
+    """Freed memory goes back to the system: workers live on beside those that other steps need."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim:
+        trim(0)
+
+
+def _thrifty(run: Callable, tables: int = 0) -> Callable:
+    """The same function, whose worker keeps nothing when it is through: of Arrow batches, or of one or two tables
+    of a group."""
+
+    def batchwise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        _give_back()
+
+    def grouped(table: pa.Table) -> pa.Table:
+        result = run(table)
+        _give_back()
+        return result
+
+    def cogrouped(left: pa.Table, right: pa.Table) -> pa.Table:
+        result = run(left, right)
+        _give_back()
+        return result
+
+    return (batchwise, grouped, cogrouped)[tables]
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     columns = zip(*rows) if rows else [[]] * len(names)
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
@@ -179,10 +209,10 @@ def vocabulary(train: DataFrame, buckets: int, text: str = "text") -> DataFrame:
     """Word counts in hash buckets, written: a row has the words of a bucket, joined by line ends, and
     their counts, with the sums of both and, in bucket 0, the number of texts."""
     counted = _texts(train, text).mapInArrow(
-        _word_counter(buckets), "bucket long, words binary, counts binary, texts long"
+        _thrifty(_word_counter(buckets)), "bucket long, words binary, counts binary, texts long"
     )
     return written(counted.groupBy("bucket").applyInArrow(
-        _word_adder, "bucket long, words binary, counts binary, tokens long, distinct long, texts long"
+        _thrifty(_word_adder, 1), "bucket long, words binary, counts binary, tokens long, distinct long, texts long"
     ), "vocabulary")
 
 
@@ -224,7 +254,7 @@ def _blocker(shared):
 def blocks_of(docs: DataFrame, number: dict[bytes, int], text: str = "text") -> DataFrame:
     """The documents as blocks of word numbers, written."""
     shared = docs.sparkSession.sparkContext.broadcast(number)
-    return written(_texts(docs, text).mapInArrow(_blocker(shared), _BLOCK), "blocks")
+    return written(_texts(docs, text).mapInArrow(_thrifty(_blocker(shared)), _BLOCK), "blocks")
 
 
 def _questioner(buckets: int):
@@ -270,10 +300,10 @@ def _answer(asked: pa.Table, words: pa.Table) -> pa.Table:
 def answers(blocks: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
     """`block, places, counts, classes`: what the vocabulary has of each block's words without a number."""
     asked = blocks.select("block", "words").mapInArrow(
-        _questioner(buckets), "bucket long, block long, words binary, places binary"
+        _thrifty(_questioner(buckets)), "bucket long, block long, words binary, places binary"
     )
     return asked.groupBy("bucket").cogroup(words.select("bucket", "words", "counts", "classes").groupBy("bucket")).applyInArrow(
-        _answer, "block long, places binary, counts binary, classes binary"
+        _thrifty(_answer, 2), "block long, places binary, counts binary, classes binary"
     )
 
 
@@ -301,16 +331,31 @@ def _teller(blocks: pa.Table, told: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.binary()) for c in columns], _TOLD_NAMES)
 
 
-def told_blocks(blocks: DataFrame, words: DataFrame, buckets: int) -> DataFrame:
-    """Blocks with what the vocabulary has of their words; the words themselves are not shuffled."""
+def told_blocks(
+    blocks: DataFrame, words: DataFrame, buckets: int, teller: Callable = _teller, schema: str = _TOLD
+) -> DataFrame:
+    """Blocks with what the vocabulary has of their words, or what `teller` makes of it in the same step; the words
+    themselves are not shuffled."""
     known = answers(blocks, words, buckets)
     bare = blocks.select("block", "numbers", "rare", "sizes", "ids", "asked")
-    return bare.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_teller, _TOLD)
+    return bare.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(_thrifty(teller, 2), schema)
 
 
 # --- bigrams ---------------------------------------------------------------------------------------
 
 
+def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their values. The lists are emptied, to hold a key no more than thrice."""
+    key, value = np.concatenate(keys), np.concatenate(values)
+    keys.clear()
+    values.clear()
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    del order
+    starts = np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
+    return key[starts], np.add.reduceat(value, starts, dtype=np.int64).astype(np.float64) if len(key) else np.zeros(0)
+
+
 _PAIRS = "bucket long, following binary, following_n binary, preceding binary, preceding_n binary"
 _PAIR_NAMES = ["bucket", "following", "following_n", "preceding", "preceding_n"]
 _PAIR_KINDS = [pa.int64(), *[pa.binary()] * 4]
@@ -342,11 +387,9 @@ def _pair_counter(size: int, buckets: int):
 def _pair_adder(table: pa.Table) -> pa.Table:
     row = [table.column("bucket")[0].as_py()]
     for side in ("following", "preceding"):
-        keys = np.concatenate([unpack(x, "i8") for x in table.column(side).to_pylist()])
-        counts = np.concatenate([unpack(x, "i8") for x in table.column(f"{side}_n").to_pylist()])
-        unique, index = np.unique(keys, return_inverse=True)
-        total = np.bincount(index, weights=counts, minlength=len(unique)).astype(np.int64)
-        row += [pack(unique), pack(total)]
+        keys, counts = ([unpack(x.as_py(), "i8") for x in table.column(c)] for c in (side, f"{side}_n"))
+        unique, total = _summed(keys, counts)
+        row += [pack(unique), pack(total.astype(np.int64))]
     return pa.table([pa.array([v], k) for v, k in zip(row, _PAIR_KINDS)], _PAIR_NAMES)
 
 
@@ -374,7 +417,7 @@ def _class_counter(shared):
 def class_matrix(pairs: DataFrame, classes: np.ndarray, width: int) -> np.ndarray:
     """Counts of class after class; at most width * width numbers reach the driver."""
     shared = pairs.sparkSession.sparkContext.broadcast((classes, width))
-    cells = pairs.select("following", "following_n").mapInArrow(_class_counter(shared), "cell long, n long")
+    cells = pairs.select("following", "following_n").mapInArrow(_thrifty(_class_counter(shared)), "cell long, n long")
     matrix = np.zeros(width * width, dtype=np.float64)
     for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         matrix[row["cell"]] = row["n"]
@@ -448,7 +491,7 @@ def exchange(
     share = 0.0
     for turn in range(passes):
         shared = context.broadcast((own, class_matrix(pairs, own, width)))
-        moves = pairs.mapInArrow(_mover(shared, turn), "word long, class long").collect()
+        moves = pairs.mapInArrow(_thrifty(_mover(shared, turn)), "word long, class long").collect()
         shared.unpersist()
         own = own.copy()
         for row in moves:
@@ -524,18 +567,6 @@ def _best_sparse(own: np.ndarray, owner: np.ndarray, cell: np.ndarray, n: np.nda
 _CLASSED = "bucket long, words binary, counts binary, tokens long, distinct long, texts long, classes binary"
 
 
-def _summed(keys: list[np.ndarray], values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, and the sums of their values. The lists are emptied, to hold a key no more than thrice."""
-    key, value = np.concatenate(keys), np.concatenate(values)
-    keys.clear()
-    values.clear()
-    order = np.argsort(key)
-    key, value = key[order], value[order]
-    del order
-    starts = np.flatnonzero(np.concatenate((key[:1] == key[:1], key[1:] != key[:-1])))
-    return key[starts], np.add.reduceat(value, starts, dtype=np.int64).astype(np.float64) if len(key) else np.zeros(0)
-
-
 def _placer(shared, least: float):
     """The vocabulary's buckets with the best class of every word of the rest."""
 
@@ -612,13 +643,13 @@ def place_rest(
     width = len(matrix)
     state = context.broadcast((own, width))
     around = blocks.select("words", "numbers", "rare").mapInArrow(
-        _around(state, buckets), "bucket long, words binary, cells binary, counts binary"
+        _thrifty(_around(state, buckets)), "bucket long, words binary, cells binary, counts binary"
     )
     words = written(words.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInArrow(
-        _placer(context.broadcast(matrix), least), _CLASSED
+        _thrifty(_placer(context.broadcast(matrix), least), 2), _CLASSED
     ), "classes")
     told = written(told_blocks(blocks, words, buckets), "told")
-    cells = told.select("numbers", "rare", "classes").mapInArrow(_matrix_counter(state), "cell long, n long")
+    cells = told.select("numbers", "rare", "classes").mapInArrow(_thrifty(_matrix_counter(state)), "cell long, n long")
     matrix = np.zeros(width * width, dtype=np.float64)
     for row in cells.groupBy("cell").agg(F.sum("n").alias("n")).collect():
         matrix[row["cell"]] = row["n"]
@@ -671,8 +702,8 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
     number = {w: FIRST + i for i, (_, w) in enumerate(ranked)}
     counts = np.array([texts, 0, *[-c for c, _ in ranked]], dtype=np.float64)
     blocks = blocks_of(docs, number, text)
-    slices = blocks.select("numbers").mapInArrow(_pair_counter(len(number) + FIRST, buckets), _PAIRS)
-    pairs = written(slices.groupBy("bucket").applyInArrow(_pair_adder, _PAIRS), "bigrams")
+    slices = blocks.select("numbers").mapInArrow(_thrifty(_pair_counter(len(number) + FIRST, buckets)), _PAIRS)
+    pairs = written(slices.groupBy("bucket").applyInArrow(_thrifty(_pair_adder, 1), _PAIRS), "bigrams")
     own, matrix, moved = exchange(pairs, len(number), classes, passes)
     forget(pairs)
     width = len(matrix)
@@ -699,6 +730,10 @@ def train(docs: DataFrame, text: str = "text", classes: int = CLASSES, passes: i
 
 
 _SCORES = "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+_SCORE_SCHEMA = pa.schema([
+    *[(c, pa.int64()) for c in ("doc_id", "n_tokens", "n_known", "train_tokens")],
+    *[(c, pa.float64()) for c in ("base_score", "score")],
+])
 
 
 def _scorer(shared):
@@ -711,6 +746,15 @@ def _scorer(shared):
     return run
 
 
+def _telling_scorer(shared):
+    """`_teller` and `_scorer` in one worker, so that a task never has two."""
+
+    def run(blocks: pa.Table, told: pa.Table) -> pa.Table:
+        return pa.Table.from_batches(_scorer(shared)(_teller(blocks, told).to_batches()), _SCORE_SCHEMA)
+
+    return run
+
+
 def _scored(
     model: BrownModel, numbers: bytes, rare: bytes, sizes: bytes, ids: bytes, counts: bytes, classes: bytes
 ) -> pa.RecordBatch:
@@ -728,13 +772,16 @@ def _scored(
         pa.array(np.add.reduceat((count > 0).astype(np.int64), first)),
         pa.array(np.full(len(doc), model.tokens, dtype=np.int64)),
         pa.array(np.add.reduceat(np.log10(unigram), first)), pa.array(np.add.reduceat(np.log10(mixed), first)),
-    ], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    ], schema=_SCORE_SCHEMA)
+
+
+def _for_scores(table: DataFrame, model: BrownModel):
+    """The model on the executors, without the words themselves, which blocks have as numbers."""
+    return table.sparkSession.sparkContext.broadcast(replace(model, number={}))
 
 
-def _scores(told: DataFrame, model: BrownModel) -> DataFrame:
-    shared = told.sparkSession.sparkContext.broadcast(model)
-    result = told.select(*_TOLD_NAMES).mapInArrow(_scorer(shared), _SCORES)
-    return result.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+def _with_perplexity(scores: DataFrame) -> DataFrame:
+    return scores.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
 def score(docs: DataFrame, trained: Trained, text: str = "text") -> DataFrame:
@@ -743,9 +790,11 @@ def score(docs: DataFrame, trained: Trained, text: str = "text") -> DataFrame:
     Writes the documents' word numbers when called; the rest is lazy.
     """
     blocks = blocks_of(docs, trained.model.number, text)
-    return _scores(told_blocks(blocks, trained.vocabulary, trained.buckets), trained.model)
+    scorer = _telling_scorer(_for_scores(blocks, trained.model))
+    return _with_perplexity(told_blocks(blocks, trained.vocabulary, trained.buckets, scorer, _SCORES))
 
 
 def score_trained(trained: Trained) -> DataFrame:
     """`score` of the training documents, from their blocks: they are not read, nor looked up, again."""
-    return _scores(trained.told, trained.model)
+    scorer = _thrifty(_scorer(_for_scores(trained.told, trained.model)))
+    return _with_perplexity(trained.told.select(*_TOLD_NAMES).mapInArrow(scorer, _SCORES))

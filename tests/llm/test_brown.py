@@ -172,3 +172,49 @@ def test_sums_of_keys_let_go_of_their_parts():
     key, total = brown._summed(keys, values)
     assert key.tolist() == [2, 5, 2**40] and total.tolist() == [3, 2**32 + 2, 7] and not keys and not values
     assert [len(x) for x in brown._summed([np.zeros(0, np.int64)], [np.zeros(0, np.uint32)])] == [0, 0]
+
+
+def test_a_scoring_task_has_one_worker(spark):
+    """Looked-up blocks are scored where they are told; the words stay off the executors."""
+    docs = documents(spark, SMALL + HARD)
+    trained = brown.train(docs, classes=4, passes=2)
+    plans = [s._jdf.queryExecution().optimizedPlan().toString() for s in (brown.score(docs, trained), brown.score_trained(trained))]
+    assert [p.split("FlatMapCoGroupsInArrow")[0].count("MapInArrow") for p in plans] == [0, 1]
+    assert brown._for_scores(docs, trained.model).value.number == {}
+
+
+@pytest.mark.parametrize("tables", [0, 1, 2])
+def test_workers_give_memory_back(monkeypatch, tables):
+    events = []
+    monkeypatch.setattr(brown, "_give_back", lambda: events.append("back"))
+
+    def batchwise(batches):
+        for b in batches:
+            events.append("work")
+            yield b
+
+    grouped = brown._thrifty(batchwise if not tables else lambda *t: events.append("work") or t, tables)
+    if tables:
+        assert grouped(*range(tables)) == tuple(range(tables)) and events == ["work", "back"]
+    else:
+        assert list(grouped(iter([1, 2]))) == [1, 2] and events == ["work", "work", "back"]
+
+
+def test_bigram_sums_hold_few_copies():
+    """Counts of many blocks are summed in a few times the room of their keys."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(2)
+    parts = [np.sort(rng.integers(0, 2**40, 20_000)) for _ in range(20)]
+    row = lambda k: (7, brown.pack(k), brown.pack(np.ones(len(k), np.int64)), brown.pack(k[:1]), brown.pack(np.array([3])))
+    table = pa.Table.from_batches([brown._batch([row(k) for k in parts], brown._PAIR_NAMES, brown._PAIR_KINDS)])
+    tracemalloc.start()
+    made = brown._pair_adder(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    key, n = np.unique(np.concatenate(parts), return_counts=True)
+    assert (brown.unpack(made["following"][0].as_py(), "i8") == key).all() and (brown.unpack(made["following_n"][0].as_py(), "i8") == n).all()
+    assert brown.unpack(made["preceding_n"][0].as_py(), "i8").sum() == 60 and made["bucket"][0].as_py() == 7
+    assert peak < 6.5 * 8 * sum(map(len, parts))
