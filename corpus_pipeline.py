@@ -55,8 +55,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # written, so that no executor holds workers of both steps at once
-    encoded = written(bytebpe.encode(docs.select("doc_id", "source", "lang", "text"), offsets=False), "encoded")
+    # written, so that no executor holds workers of both steps at once; zstd, as the table holds texts and ids
+    encoded = bytebpe.encode(docs.select("doc_id", "source", "lang", "text"), offsets=False).drop("n_split")
+    encoded = written(encoded, "encoded", compression="zstd")
     decoded = bytebpe.decode(encoded)
     text = F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select(

@@ -43,7 +43,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hooklens.llm.common import written
+from hooklens.llm.common import forget, written
 from hooklens.llm.components import HOT, components, lookup
 from hooklens.llm.packing import mix64, pack, spans_of, unpack
 
@@ -678,10 +678,11 @@ def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     orders = written(
         sets.mapInArrow(_orders(percent), "node long, n long, least binary, greatest binary"), "orders"
     )
-    rows = written(prefixes(sets, total, percent), "prefixes")
+    every = written(prefixes(sets, total, percent), "prefixes")
     # a bucket of one node has no pair
-    crowded = rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
-    rows = written(rows.join(crowded, "token", "left_semi"), "buckets")
+    crowded = every.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").drop("c")
+    rows = written(every.join(crowded, "token", "left_semi"), "buckets")
+    forget(every)
     labelled = rows.withColumn("label", F.col("node"))
     links = None
     labels = None
@@ -706,14 +707,17 @@ def link_nodes(sets: DataFrame, percent: int = THRESHOLD) -> DataFrame:
     sized = labelled.join(size, "label", "left").withColumn("size", F.coalesce("size", F.lit(1)).cast("bigint"))
     lists = cross_lists(sized, percent).groupBy("x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
     dealt = lists.mapInArrow(_dealer(chunks), "x long, chunk long, ys array<long>")
-    return components(links.unionAll(verify(dealt, sets, orders, chunks, percent)))
+    labels = components(links.unionAll(verify(dealt, sets, orders, chunks, percent)))
+    forget(orders)
+    forget(rows)
+    return labels
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", percent: int = THRESHOLD) -> DataFrame:
     """`doc_id, n_shingles, class_id, component_id`, one row per document.
 
     `class_id` is the smallest id with an equal set, `component_id` the smallest id reachable over links.
-    Runs its jobs when called and leaves intermediate tables in the shared folder.
+    Runs its jobs when called. The large intermediate tables are deleted once read; the others stay in the shared folder.
     """
     seen = written(survey(docs, text, percent), "survey")
     # numbers are given once, as the table is written
@@ -728,6 +732,8 @@ def near_duplicates(docs: DataFrame, text: str = "text", percent: int = THRESHOL
     named = written(rooted.join(roots, "label").select(
         "signature", "rows", F.col("first_id").alias("class_id"), F.col("root").alias("component_id")
     ), "named")
+    forget(sets)
+    forget(classes)
     asking = seen.filter("candidate").select("doc_id", "n_shingles", "signature")
     # a set of very many equal texts is looked up by broadcast
     often = F.col("rows") * HOT > asking.count()

@@ -1,7 +1,12 @@
+import glob
 import hashlib
+import os
+
+import pyarrow.parquet as pq
 
 import corpus_pipeline
 from hooklens.llm import bytebpe
+from hooklens.session import shared_dir
 from tests.llm.helpers import HARD, documents
 
 PROSE = "the {0} of the river and the {0} in the town was a {0} that people from all over the land came to see on that day number {1}"
@@ -59,3 +64,31 @@ def test_encoder_sends_a_text_once(spark):
     assert "coalesce(text" not in sent and "_text" not in sent
     assert encoded.columns == [*rows.columns, "ids", "n_tokens", "n_split"]
     assert {r.doc_id: (r.text, r.n_tokens) for r in encoded.collect()} == {1: ("a text", 2), 2: (None, 0)}
+
+
+def folders(spark):
+    at = f"{shared_dir(spark)}/hooklens"
+    return {d: os.path.join(at, d) for d in (os.listdir(at) if os.path.isdir(at) else [])}
+
+
+def test_large_tables_go_once_read(spark):
+    """Sets, their prefixes and edges are not on the disk beside what later stages write."""
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base[: 36 + i % 3] + [f"own{i}"]) for i in range(12)] + [f"alone {i} with a few other words of it {i * 7}" for i in range(5)]
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    before = folders(spark)
+    out = corpus_pipeline.near_duplicates(spark, docs, "")
+    left = {d.rsplit("-", 1)[0] for d in set(folders(spark)) - set(before)}
+    assert not left & {"classes", "sets", "orders", "prefixes", "buckets", "edges", "hubs", "labels", "best"}
+    assert sorted(r.doc_id for r in out.collect()) == [0, *range(12, 17)]
+
+
+def test_encoded_texts_are_written_small(spark):
+    before = folders(spark)
+    rows = [(i, f"a text {i} " * 50, "en", "a") for i in range(20)]
+    out = corpus_pipeline.tokens(spark, documents(spark, rows), "").collect()
+    assert len(out) == 20 and all(r.exact for r in out)
+    made = [p for d, p in folders(spark).items() if d not in before and d.startswith("encoded-")]
+    files = [pq.read_metadata(f) for p in made for f in glob.glob(f"{p}/*.parquet")]
+    kinds = {g.column(c).compression for m in files for g in map(m.row_group, range(m.num_row_groups)) for c in range(g.num_columns)}
+    assert kinds == {"ZSTD"}
