@@ -201,6 +201,49 @@ def test_merged_terms_change_no_score(spark):
         assert np.allclose([of[t] for t in terms], plain[:-1], atol=1e-5) and abs(fitted[-1] - plain[-1]) < 1e-5
 
 
+@pytest.mark.parametrize("basis_bytes", [0, 1 << 28])
+def test_few_steps_serve_all_experiments(spark, table, monkeypatch, basis_bytes):
+    """Experiments are fitted in the same few jobs, also where the driver keeps few directions."""
+    from hooklens.models import training
+
+    steps = []
+    total = training._total
+    monkeypatch.setattr(training, "_total", lambda *a: (steps.append(a), total(*a))[1])
+    monkeypatch.setattr(training, "BASIS_BYTES", basis_bytes)
+    names = ["E0", "E1", "E4"]
+    features = X.build_features(table, names)
+    models = X.fit_models(features, names)
+    assert len(steps) <= 30
+    for name in names:
+        found, penalty = X.certificate(features, name, models[name])
+        assert found.selectExpr("sqrt(sum(gradient * gradient))").first()[0] / penalty <= 1.1 * X.TOLERANCE
+
+
+def test_training_with_repeated_and_missing_ids(spark):
+    """Rows of one id share its text, a row without an id has none; the optimum is that of plain descent."""
+    import numpy as np
+
+    from hooklens.models import training
+
+    vectors = spark.createDataFrame(
+        [(1, [0, 2], [0.6, 0.8]), (2, [1, 2], [1.0, 0.5]), (None, [0], [1.0])], "id long, indices array<int>, weights array<double>")
+    vectors = vectors.repartition(3).withColumn("place", F.monotonically_increasing_id()).localCheckpoint()
+    places = training.Places(vectors)
+    number = {r["id"]: int(places.numbers(np.array([r["place"]]))[0]) for r in vectors.collect()}
+    assert sorted(number.values()) == [0, 1, 2]
+    slot = np.array([number[1], number[1], number[2], 3])
+    sparse = {number[1]: [0.6, 0.0, 0.8], number[2]: [0.0, 1.0, 0.5], 3: [0.0] * 3}
+    y, c, dense = np.array([1.0, -1.0, 1.0, -1.0]), np.array([1.0, 2.0, 1.0, 0.5]), np.array([[30.0, 1.0, 0.0, -2.0]])
+    x = np.hstack([np.array([sparse[s] for s in slot]), dense.T, np.ones((4, 1))])
+    columns = training.column_table(vectors, places)
+    for loss in ("lr", "svm"):
+        a, b, far = training.solved(columns, {"": training.solving(slot, 3, y, c, dense, loss, 1e-7)})[""]
+        text = {r["feature"]: r["coefficient"] for r in columns.combined(a).collect()}
+        w = np.array([text[0], text[1], text[2], *b])
+        slope = x.T @ (c * training.LOSSES[loss](y * (x @ w))[1] * y) + w
+        assert far <= 1e-7 and np.linalg.norm(slope) < 1e-6
+
+
 @pytest.mark.parametrize("driver_bytes", [0, 1 << 27])
 def test_a_training_step_is_one_job(spark, monkeypatch, driver_bytes):
     """However many tasks a step has, they run in one job, and their sums are those of plain numpy."""
