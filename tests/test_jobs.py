@@ -219,6 +219,31 @@ def test_few_steps_serve_all_experiments(spark, table, monkeypatch, basis_bytes)
         assert found.selectExpr("sqrt(sum(gradient * gradient))").first()[0] / penalty <= 1.1 * X.TOLERANCE
 
 
+def test_coefficients_do_not_pass_the_driver(spark, table, monkeypatch):
+    """A model's terms are written by tasks: the driver makes rows of the signals and the bias alone."""
+    features = X.build_features(table, ["E1"])
+    made, create = [], type(spark).createDataFrame
+    monkeypatch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: (made.append(len(data)), create(self, data, *a, **k))[1])
+    model = X.fit_model(features, "E1")
+    assert made == [len(X.SIGNAL_COLUMNS["url"]) + 1] and features.text.index.count() > 20
+    assert model.filter("kind = 'term'").count() == features.text.index.count()
+
+
+def test_large_tables_go_once_read(spark, table):
+    """Words, questions, columns and models of a run of experiments are deleted; what later readers need stays."""
+    import glob
+
+    from hooklens.session import fresh_dir
+
+    folder = fresh_dir(spark, "x").rpartition("/")[0]
+    before = set(glob.glob(f"{folder}/*"))
+    predictions, summary, _ = X.run_experiments(table, ["E0", "E4"])
+    left = {p.rpartition("/")[2].rpartition("-")[0] for p in set(glob.glob(f"{folder}/*")) - before}
+    assert {"predictions", "features", "relation"} <= left
+    assert not left & {"words", "asked", "terms", "columns", "coefficients", "model-E0", "model-E4"}
+    assert summary.count() == 2 and predictions.count() > 0
+
+
 def test_training_with_repeated_and_missing_ids(spark):
     """Rows of one id share its text, a row without an id has none; the optimum is that of plain descent."""
     import numpy as np
