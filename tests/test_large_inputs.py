@@ -39,6 +39,20 @@ def test_list_rules_do_not_read_the_texts_again(spark, tables, monkeypatch):
     assert read and not [f for f in read if "documents.parquet" in f]
 
 
+def test_list_versions_hold_no_broadcast_of_hosts_together(spark, tables):
+    """A broadcast by text takes 64 MB of the driver: the plan that joins the versions has none, and each list is matched by itself."""
+    from hooklens.operators import list_rules
+
+    found = rule_queries.rules_from_lists(spark, tables)
+    assert " host#" not in found._jdf.queryExecution().optimizedPlan().toString()
+    hosts = spark.createDataFrame([("a.b.tk",), ("site.org",), ("x.y",)], "host string")
+    entries = spark.createDataFrame([("suspect_tlds", "tk"), ("shorteners", "site"), ("redirectors", "site.org")], "list string, entry string")
+    rules = list_rules.host_rules(hosts, entries)
+    assert "Join" not in rules._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["host"]: sorted(r["rules"]) for r in rules.collect()} == {
+        "a.b.tk": ["tld_suspect"], "site.org": ["redirector_url", "shortened_url"]}
+
+
 def test_stream_batches_hold_many_files(spark, tables, monkeypatch):
     asked = []
     stream = rule_queries.message_stream
