@@ -229,16 +229,11 @@ def test_coefficients_do_not_pass_the_driver(spark, table, monkeypatch):
     assert model.filter("kind = 'term'").count() == features.text.index.count()
 
 
-def test_large_tables_go_once_read(spark, table):
+def test_large_tables_go_once_read(spark, table, tmp_path, monkeypatch):
     """Words, questions, columns and models of a run of experiments are deleted; what later readers need stays."""
-    import glob
-
-    from hooklens.session import fresh_dir
-
-    folder = fresh_dir(spark, "x").rpartition("/")[0]
-    before = set(glob.glob(f"{folder}/*"))
+    monkeypatch.setattr("hooklens.session.shared_dir", lambda spark: str(tmp_path))
     predictions, summary, _ = X.run_experiments(table, ["E0", "E4"])
-    left = {p.rpartition("/")[2].rpartition("-")[0] for p in set(glob.glob(f"{folder}/*")) - before}
+    left = {p.name.rpartition("-")[0] for p in (tmp_path / "hooklens").iterdir()}
     assert {"predictions", "features", "relation"} <= left
     assert not left & {"words", "asked", "terms", "columns", "coefficients", "model-E0", "model-E4"}
     assert summary.count() == 2 and predictions.count() > 0
